@@ -1,0 +1,300 @@
+"""Spark data source that cuts ``<tag …>…</tag>`` records out of text files.
+
+``spark.read.format("xml_records").load(path)`` gives one row per record:
+``path``, ``end_offset`` (byte after the end tag), ``kind`` (which tag matched)
+and ``raw`` (the block, not parsed).  Spark's own XML reader is not used for
+this step because the blocks may hold undeclared entities and stray brackets
+that have to be repaired as text first.
+
+Files are planned as byte ranges, small files packed together.  A record
+belongs to the range that holds the first byte of its start tag; its reader
+runs past the end of the range to finish the record.  A record ends at its own
+end tag, or, when that is missing, at the next record start or the end of the
+file.  Every record is therefore decided by its own bytes alone, and any split
+of the input gives the same rows.  An unfinished record is a row like any
+other; it fails to parse later and lands in quarantine.
+"""
+
+from __future__ import annotations
+
+import fnmatch
+import re
+import sys
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+# The record kinds scanned by default.
+DEFAULT_KINDS = (
+    "article",
+    "inproceedings",
+    "proceedings",
+    "book",
+    "incollection",
+    "phdthesis",
+    "mastersthesis",
+    "www",
+)
+
+SCHEMA = "path string, end_offset bigint, kind string, raw string"
+
+_MIB = 1 << 20
+_COMPRESSED = (".gz", ".bz2", ".zst", ".lz4")
+
+
+@dataclass
+class FileRange:
+    path: str
+    start: int
+    end: int | None  # None: to the end of the file, whatever its size
+
+
+@dataclass
+class Ranges(InputPartition):
+    items: list[FileRange]
+
+
+class RecordPattern:
+    """Start tags of all kinds and the end tag of each."""
+
+    def __init__(self, kinds: list[str], require_attributes: bool = True):
+        names = "|".join(re.escape(kind) for kind in sorted(kinds))
+        follow = " " if require_attributes else r"[\s>]"
+        self.start = re.compile(f"<({names}){follow}".encode())
+        self.end = {kind.encode(): f"</{kind}>".encode() for kind in kinds}
+        self.longest = max(len(tag) for tag in self.end.values())
+
+
+def scan_range(
+    read: Callable[[int], bytes],
+    start: int,
+    end: int | None,
+    pattern: RecordPattern,
+    block: int = 4 * _MIB,
+    max_record: int = 256 * _MIB,
+) -> Iterator[tuple[bytes, bytes, int]]:
+    """Yield ``(kind, raw, end_offset)`` for records that start in ``[start, end)``.
+
+    ``read`` continues from byte ``start`` and returns b"" at the end of the file.
+    """
+    data, base, pos = read(block), start, 0
+    overlap = pattern.longest - 1
+    while True:
+        found = pattern.start.search(data, pos)
+        if found is None:
+            # a start tag may be cut by the end of the block: keep that much
+            pos = max(pos, len(data) - overlap)
+            if end is not None and base + pos >= end:
+                return
+            more = read(block)
+            if not more:
+                return
+            data, base, pos = data[pos:] + more, base + pos, 0
+            continue
+        first, kind, searched = found.start(), found.group(1), found.end()
+        if end is not None and base + first >= end:
+            return
+        closing = pattern.end[kind]
+        inner = searched
+        want = block
+        while True:
+            close = data.find(closing, searched)
+            following = pattern.start.search(data, inner, close if close >= 0 else len(data))
+            if following is not None:
+                stop = pos = following.start()
+                break
+            if close >= 0:
+                stop = pos = close + len(closing)
+                break
+            if len(data) - first > max_record:
+                raise ValueError(
+                    f"record of kind {kind.decode()} at byte {base + first} is longer than "
+                    f"{max_record} bytes; raise maxRecordBytes to read it"
+                )
+            more = read(want)
+            if not more:
+                stop = pos = len(data)
+                break
+            # only the new bytes, and a tag cut at the seam, are searched again
+            seam = max(inner, len(data) - overlap) - first
+            data, base, first = data[first:] + more, base + first, 0
+            searched = inner = seam
+            want *= 2  # keeps the copying linear in the record length
+        yield kind, data[first:stop], base + stop
+
+
+class XmlRecordReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]):
+        path = options.get("path")
+        if not path:
+            raise ValueError("xml_records needs a path")
+        self.path = path
+        kinds = [kind.strip() for kind in options.get("kinds", "").split(",") if kind.strip()]
+        self.kinds = kinds or list(DEFAULT_KINDS)
+        self.require_attributes = options.get("requireattributes", "true").lower() != "false"
+        self.recursive = options.get("recursive", "false").lower() == "true"
+        self.split_bytes = int(options.get("splitbytes", 128 * _MIB))
+        self.open_cost = int(options.get("opencostbytes", 4 * _MIB))
+        self.min_partitions = int(options.get("minpartitions", 1))
+        self.block_bytes = int(options.get("blockbytes", 4 * _MIB))
+        self.batch_bytes = int(options.get("batchbytes", 8 * _MIB))
+        self.max_record = int(options.get("maxrecordbytes", 256 * _MIB))
+        self.encoding = options.get("encoding", "utf-8")
+        if min(self.split_bytes, self.block_bytes, self.batch_bytes, self.max_record) < 1:
+            raise ValueError("byte sizes must be positive")
+
+    def partitions(self) -> list[InputPartition]:
+        files = list_files(self.path, self.recursive)
+        # as Spark plans its own files: smaller ranges when there is little to read
+        total = sum(size + self.open_cost for _, size in files)
+        split = min(self.split_bytes, max(self.open_cost, total // self.min_partitions, 1))
+        whole, packed, room = [], [], 0
+        for path, size in files:
+            if path.endswith(_COMPRESSED):
+                whole.append(Ranges([FileRange(path, 0, None)]))
+                continue
+            start = 0
+            while size - start > split:
+                whole.append(Ranges([FileRange(path, start, start + split)]))
+                start += split
+            if start == size:
+                continue
+            cost = size - start + self.open_cost
+            if cost > room or not packed:
+                packed.append(Ranges([]))
+                room = split
+            packed[-1].items.append(FileRange(path, start, size))
+            room -= cost
+        return whole + packed
+
+    def read(self, partition: Ranges):
+        pattern = RecordPattern(self.kinds, self.require_attributes)
+        for item in partition.items:
+            yield from self._batches(item, pattern)
+
+    def _batches(self, item: FileRange, pattern: RecordPattern):
+        files, inside = open_path(item.path)
+        if item.end is None:
+            stream = files.open_input_stream(inside, compression="detect")
+        else:
+            stream = files.open_input_file(inside)
+            stream.seek(item.start)
+        kinds, raws, offsets, held = [], [], [], 0
+        with stream:
+            for kind, raw, offset in scan_range(
+                stream.read, item.start, item.end, pattern, self.block_bytes, self.max_record
+            ):
+                kinds.append(kind)
+                raws.append(raw)
+                offsets.append(offset)
+                held += len(raw)
+                if held >= self.batch_bytes:
+                    yield self._batch(item.path, offsets, kinds, raws)
+                    kinds, raws, offsets, held = [], [], [], 0
+        if raws:
+            yield self._batch(item.path, offsets, kinds, raws)
+
+    def _batch(self, path: str, offsets: list[int], kinds: list[bytes], raws: list[bytes]):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([path] * len(raws), pa.string()),
+                pa.array(offsets, pa.int64()),
+                pa.array(kinds, pa.binary()).cast(pa.string()),
+                pa.array([raw.decode(self.encoding, "replace") for raw in raws], pa.string()),
+            ],
+            names=["path", "end_offset", "kind", "raw"],
+        )
+
+
+class XmlRecordSource(DataSource):
+    """Options: ``path`` (file, directory or glob), ``kinds`` (comma separated),
+    ``requireAttributes`` (a start tag must be followed by a blank; default true),
+    ``recursive``, ``splitBytes``, ``openCostBytes``, ``minPartitions``,
+    ``blockBytes``, ``batchBytes``, ``maxRecordBytes`` and ``encoding``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "xml_records"
+
+    def schema(self) -> str:
+        return SCHEMA
+
+    def reader(self, schema) -> DataSourceReader:
+        return XmlRecordReader({key.lower(): value for key, value in self.options.items()})
+
+
+def open_path(path: str):
+    """File system and the path inside it; a bare path is local to the node."""
+    from pyarrow import fs
+
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path.removeprefix("file:")
+
+
+def list_files(path: str, recursive: bool = False) -> list[tuple[str, int]]:
+    """Files under a file, directory or glob, without hidden ones, in name order."""
+    from pyarrow import fs
+
+    files, inside = open_path(path)
+    prefix = path[: len(path) - len(inside)] if path.endswith(inside) else ""
+    globbed = re.search(r"[*?\[]", inside)
+    if globbed:
+        base = inside[: globbed.start()].rpartition("/")[0]
+        found = files.get_file_info(fs.FileSelector(base or "/", recursive=True))
+        found = [info for info in found if _glob_match(info.path, inside)]
+    else:
+        info = files.get_file_info(inside.rstrip("/") or "/")
+        if info.type == fs.FileType.NotFound:
+            raise FileNotFoundError(path)
+        if info.type == fs.FileType.File:
+            return [(path, info.size)]
+        found = files.get_file_info(fs.FileSelector(inside, recursive=recursive))
+        base = inside
+    visible = [
+        info
+        for info in found
+        if info.type == fs.FileType.File and not _hidden(info.path[len(base.rstrip("/")) :])
+    ]
+    return sorted((prefix + info.path, info.size) for info in visible)
+
+
+def _hidden(relative: str) -> bool:
+    return any(part.startswith((".", "_")) for part in relative.split("/") if part)
+
+
+def _glob_match(path: str, pattern: str) -> bool:
+    parts, wanted = path.strip("/").split("/"), pattern.strip("/").split("/")
+    return len(parts) == len(wanted) and all(map(fnmatch.fnmatchcase, parts, wanted))
+
+
+def read_xml_records(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Scan records; options as in :class:`XmlRecordSource`, in snake case.
+
+    Ranges follow ``spark.sql.files.maxPartitionBytes`` and the cluster's cores
+    unless ``split_bytes`` says otherwise.  The reader's code travels with the
+    plan, so executors need no installed copy of this package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(XmlRecordSource)
+    if "split_bytes" not in options:
+        options["split_bytes"] = _conf_bytes(spark, "spark.sql.files.maxPartitionBytes")
+        options.setdefault("min_partitions", spark.sparkContext.defaultParallelism)
+    options.setdefault("open_cost_bytes", _conf_bytes(spark, "spark.sql.files.openCostInBytes"))
+    reader = spark.read.format("xml_records")
+    for key, value in options.items():
+        if key == "kinds" and not isinstance(value, str):
+            value = ",".join(value)
+        reader = reader.option(key.replace("_", ""), value)
+    return reader.load(path)
+
+
+def _conf_bytes(spark: SparkSession, key: str) -> int:
+    """A size setting in bytes; Spark gives it as a number with an optional unit."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", spark.conf.get(key).strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
