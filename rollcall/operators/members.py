@@ -26,7 +26,7 @@ def explode_members(
 
 def record_sizes(rows: DataFrame, record: str, member: str) -> DataFrame:
     """Size of every record of a long table; records without a member do not appear."""
-    return rows.where(F.col(member).isNotNull()).groupBy(record).agg(F.count(member).alias("n"))
+    return rows.where(F.col(member).isNotNull()).groupBy(record).agg(F.count(F.lit(1)).alias("n"))
 
 
 def attach_records(

@@ -30,11 +30,11 @@ def top_bottom(scores: DataFrame, count: int = 100) -> DataFrame:
     """The ``count`` lowest scores beside the ``count`` highest, by rank.
 
     Lowest is most collaborative.  With fewer members than ``count`` both
-    columns hold all of them.
+    columns hold all of them, so the two lists always have the same ranks.
     """
     most = _ranked(scores, count, descending=False, name="most_collaborative")
     least = _ranked(scores, count, descending=True, name="least_collaborative")
-    return most.join(least, "rank", "full").orderBy("rank")
+    return most.join(least, "rank").orderBy("rank")
 
 
 def _ranked(scores: DataFrame, count: int, *, descending: bool, name: str) -> DataFrame:

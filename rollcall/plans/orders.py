@@ -38,6 +38,5 @@ def order_memberships(spark: SparkSession, folder: str, *, described: bool = Fal
 
 
 def _items(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/lineitem.parquet").select(
-        "l_orderkey", F.col("l_suppkey").alias("member")
-    )
+    items = spark.read.parquet(f"{folder}/lineitem.parquet")
+    return items.select("l_orderkey", F.col("l_suppkey").alias("member")).where("member IS NOT NULL")

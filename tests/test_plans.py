@@ -1,0 +1,39 @@
+"""What the physical plans must and must not hold."""
+
+import pytest
+
+import __spark_entry__ as contract
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plan_of(spark, name):
+    frame = contract.queries()[name](spark, FOLDER)
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", [name for name in contract.queries() if name != "job_suite"])
+def test_no_cross_joins_and_no_python_in_the_data_path(spark, name):
+    plan = plan_of(spark, name)
+    for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEval", "BatchEvalPython", "MapInPandas"):
+        assert forbidden not in plan
+
+
+def test_scans_read_two_columns(spark):
+    plan = plan_of(spark, "member_stats")
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint>" in plan
+    assert "PushedFilters: [IsNotNull(l_suppkey), IsNotNull(l_orderkey)]" in plan
+    assert "l_quantity" not in plan
+
+
+def test_aggregates_start_before_the_shuffle(spark):
+    assert "partial_count(1)" in plan_of(spark, "size_histogram")
+    assert "partial_sum" in plan_of(spark, "contribution_score")
+    assert "partial_percentile_disc" in plan_of(spark, "member_stats")
+
+
+def test_ranking_does_not_sort_everything(spark):
+    plan = plan_of(spark, "top_bottom_members")
+    assert plan.count("TakeOrderedAndProject(limit=20") == 2
+    assert "rangepartitioning" not in plan
+    assert "rangepartitioning(score" in plan_of(spark, "sorted_scores")

@@ -1,0 +1,39 @@
+import pytest
+from pyspark.sql import functions as F
+
+from rollcall.functions.specs import Bin, category_of, parse_bins, parse_categories, parse_ranges
+from rollcall.plans.suite import DEFAULT_BINS, DEFAULT_CATEGORIES, DEFAULT_YEAR_RANGES
+
+
+def test_bins():
+    assert parse_bins("1, 4 - 6,11-end") == [
+        Bin(0, "1", 1, 1),
+        Bin(1, "4-6", 4, 6),
+        Bin(2, "11-end", 11, None),
+    ]
+    assert len(parse_bins(DEFAULT_BINS)) == 6
+
+
+@pytest.mark.parametrize("spec", ["", "a", "1,,2", "end-3", "1-b"])
+def test_bad_bins(spec):
+    with pytest.raises(ValueError):
+        parse_bins(spec)
+
+
+def test_ranges():
+    assert parse_ranges(DEFAULT_YEAR_RANGES)[0] == Bin(0, "1901-1950", 1901, 1950)
+    for spec in ("1901", "1901-end"):
+        with pytest.raises(ValueError):
+            parse_ranges(spec)
+
+
+def test_categories(spark):
+    mapping = parse_categories(DEFAULT_CATEGORIES)
+    assert len(mapping) == 8
+    assert set(mapping.values()) == {"journal", "book", "school", "webpage"}
+    with pytest.raises(ValueError):
+        parse_categories("article")
+    frame = spark.createDataFrame([("article",), ("poem",), (None,)], "kind string")
+    found = frame.select(category_of("kind", mapping)).collect()
+    assert [row[0] for row in found] == ["journal", None, None]
+    assert frame.select(category_of(F.col("kind"), {"poem": "verse"})).collect()[1][0] == "verse"

@@ -1,0 +1,166 @@
+"""Jobs by name, from XML files to reports."""
+
+import csv
+from pathlib import Path
+
+import pytest
+
+from rollcall.__main__ import main
+from rollcall.plans import JOB_NAMES, Settings, run_jobs
+from rollcall.plans.staging import staging_folder, staging_root
+from rollcall.sinks import write_key_values, write_report, write_table
+from rollcall.sources import read_results
+
+XML = """<all>
+<article key="1"><author>Jean-Pierre D</author><author>Roe, Jr.</author><year>1999</year></article>
+<article key="2"><author>Roe, Jr.</author><author>Zo&euml;</author><author>Ünal "U"</author><year>1950</year></article>
+<www key="3"><author>Roe, Jr.</author><year>n.d.</year></www>
+<book key="4"><editor>E</editor><year>1999</year></book>
+<poem key="5"><author>Nobody</author></poem>
+<phdthesis key="6"><author>Zo&euml;</author></phdthesis>
+<book key="7"><author>Q<title>bad</book>
+</all>
+"""
+
+
+@pytest.fixture
+def source(tmp_path):
+    path = tmp_path / "in" / "all.xml"
+    path.parent.mkdir()
+    path.write_text(XML)
+    return str(path.parent)
+
+
+def report(folder):
+    parts = sorted(Path(folder).glob("part-*"))
+    rows = [row for part in parts for row in csv.reader(part.open(encoding="utf-8", newline=""), doublequote=True)]
+    return rows
+
+
+def test_all_jobs(spark, source, tmp_path):
+    out = tmp_path / "out"
+    folders = run_jobs(spark, source, f"{out}/(jobName)", settings=Settings(top=2))
+    assert list(folders) == list(JOB_NAMES)
+    assert folders["AuthorCount"] == f"{out}/MapReduceJob1/MapReduceJob1.csv"
+    assert report(folders["AuthorCount"]) == [
+        ["Co-Author Bin", "Number Of Co-Authors"],
+        ["1", "2"], ["2", "1"], ["3", "1"], ["4-6", "0"], ["7-10", "0"], ["11-end", "0"],
+    ]
+    venues = report(folders["PublicationVenueStratification"])
+    assert venues[0] == ["Co-Author Bin", "Publication Venue", "Number Of Co-Authors"]
+    assert len(venues) == 1 + 6 * 4
+    assert [row for row in venues if row[2] not in ("0", venues[0][2])] == [
+        ["1", "school", "1"], ["1", "webpage", "1"], ["2", "journal", "1"], ["3", "journal", "1"],
+    ]
+    years = report(folders["PublicationYearStratification"])
+    assert years[0][1] == "Publication Year Range"
+    assert [row for row in years[1:] if row[2] != "0"] == [["2", "1981-2000", "1"], ["3", "1901-1950", "1"]]
+    assert report(folders["Authorship"])[1:] == [
+        ['Ünal "U"', "Zo&euml;"], ["Jean-Pierre D", "Roe, Jr."],
+    ]
+    stats = report(folders["MeanMedianStatistics"])
+    assert stats[0] == ["Author", "Mean", "Median", "Minimum", "Maximum"]
+    assert sorted(row for row in stats if row[0] != "Author") == [
+        ["Jean-Pierre D", "1", "1", "1", "1"],
+        ["Roe, Jr.", "1", "1", "0", "2"],
+        ["Zo&euml;", "1", "2", "0", "2"],
+        ['Ünal "U"', "2", "2", "2", "2"],
+    ]
+    by_venue = report(folders["MeanMedianStatisticsWithStratification"])
+    assert by_venue[0][:2] == ["Author", "Venue"]
+    assert sorted(row for row in by_venue if row[0] == "Roe, Jr.") == [
+        ["Roe, Jr.", "journal", "1", "2", "1", "2"],
+        ["Roe, Jr.", "webpage", "0", "0", "0", "0"],
+    ]
+    scores = read_results(spark, f"{out}/SortedMapReduceJob4", "member string, score double", header=False)
+    assert [tuple(r) for r in scores.collect()] == [
+        ('Ünal "U"', 0.33), ("Jean-Pierre D", 0.5), ("Roe, Jr.", 0.61), ("Zo&euml;", 0.67),
+    ]
+    counts = read_results(spark, f"{out}/MapReduceJob1/counts", "n int, records int", header=False)
+    assert [tuple(r) for r in counts.collect()] == [(1, 2), (2, 1), (3, 1)]
+    bad = spark.read.parquet(f"{out}/Quarantine").collect()
+    assert [(r["kind"], r["_corrupt_record"]) for r in bad] == [
+        ("book", '<book key="7"><author>Q<title>bad</book>')
+    ]
+
+
+def test_chosen_jobs(spark, source, tmp_path):
+    out = str(tmp_path / "out")
+    folders = run_jobs(spark, source, out, " AuthorCount ,PublicationYearStratification")
+    assert list(folders) == ["AuthorCount", "PublicationYearStratification"]
+    assert not Path(out, "MapReduceJob5").exists()
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        run_jobs(spark, source, out, ["AuthorCount"])
+    run_jobs(spark, source, out, ["AuthorCount"], mode="overwrite")
+    for names in ("Unknown", "", []):
+        with pytest.raises(ValueError):
+            run_jobs(spark, source, out, names)
+
+
+def test_settings(spark, source, tmp_path):
+    settings = Settings(
+        kinds=("article", "poem"), categories="article:paper", bins="1-2,3-end", on_bad="drop", scan={"split_bytes": 50}
+    )
+    folders = run_jobs(spark, source, str(tmp_path / "out"), JOB_NAMES[:2], settings)
+    assert report(folders["AuthorCount"])[1:] == [["1-2", "2"], ["3-3", "1"]]
+    assert report(folders["PublicationVenueStratification"])[1:] == [["1-2", "paper", "1"], ["3-3", "paper", "1"]]
+
+
+def test_command_line(spark, source, tmp_path, capsys):
+    out = str(tmp_path / "out")
+    main([source, out, "--jobs", "Authorship", "--top", "1"])
+    assert "Authorship: " in capsys.readouterr().out
+    assert report(f"{out}/MapReduceJob4/MapReduceJob4.csv")[1:] == [['Ünal "U"', "Zo&euml;"]]
+
+
+def test_csv_keeps_values(spark, rows, tmp_path):
+    values = [("a,b", 1), ('say "hi"', 2), (" lead ", 3), ("Zoë-ü\\", 4), ("x|y;z", 5)]
+    frame = spark.createDataFrame(values, "k string, v int").repartition(2)
+    write_key_values(frame, str(tmp_path / "kv"))
+    assert rows(read_results(spark, str(tmp_path / "kv"), "k string, v int", header=False)) == sorted(values, key=repr)
+    write_table(frame, str(tmp_path / "t"), ["Key One", "Value"])
+    assert rows(read_results(spark, str(tmp_path / "t"), "k string, v int")) == sorted(values, key=repr)
+    write_report(frame.orderBy("v"), str(tmp_path / "r"), ["Key", "Value"])
+    assert len(list((tmp_path / "r").glob("part-*"))) == 1
+    broken = spark.createDataFrame([("two\nlines", 1)], "k string, v int")
+    write_table(broken, str(tmp_path / "b"))
+    assert rows(read_results(spark, str(tmp_path / "b"), "k string, v int", multi_line=True)) == [("two\nlines", 1)]
+
+
+def test_reading_skips_blank_lines_and_other_files(spark, rows, tmp_path):
+    (tmp_path / "part-00000").write_text("a,1\n\nb,2\n\n")
+    (tmp_path / "report.csv").write_text("Key,Value\nc,3\n")
+    assert rows(read_results(spark, str(tmp_path), "k string, v int", header=False)) == [("a", 1), ("b", 2)]
+
+
+def test_staging(spark):
+    with staging_folder(spark) as folder:
+        assert folder.startswith(staging_root(spark))
+        spark.range(3).write.parquet(f"{folder}/t")
+        assert Path(folder.removeprefix("file:"), "t").exists()
+    assert not Path(folder.removeprefix("file:")).exists()
+
+
+def test_cluster_needs_a_shared_folder():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf({})
+
+    session = Session()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging_root(session)
+    session.conf = Conf({"spark.checkpoint.dir": "hdfs://shared/tmp/"})
+    assert staging_root(session) == "hdfs://shared/tmp"
