@@ -23,7 +23,7 @@ from rollcall.operators import (
     top_bottom,
 )
 from rollcall.plans import documents, orders
-from rollcall.plans.staging import staging_root
+from rollcall.plans.staging import staging_root, written
 from rollcall.plans.suite import (
     DEFAULT_BINS,
     DEFAULT_CATEGORIES,
@@ -186,7 +186,7 @@ def xml_contribution_score(spark, folder):
 
 
 def xml_top_bottom(spark, folder):
-    return top_bottom(xml_contribution_score(spark, folder), TOP)
+    return top_bottom(written(xml_contribution_score(spark, folder)), TOP)
 
 
 def xml_member_stats(spark, folder):

@@ -31,6 +31,8 @@ def top_bottom(scores: DataFrame, count: int = 100) -> DataFrame:
 
     Lowest is most collaborative.  With fewer members than ``count`` both
     columns hold all of them, so the two lists always have the same ranks.
+    The scores are read twice; over tables Spark reuses the shuffle they end in,
+    over a record scan it cannot, so hand in a written table there.
     """
     most = _ranked(scores, count, descending=False, name="most_collaborative")
     least = _ranked(scores, count, descending=True, name="least_collaborative")

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -38,3 +38,13 @@ def staging_folder(spark: SparkSession) -> Iterator[str]:
         context = spark.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(frame: DataFrame) -> DataFrame:
+    """The frame as a table in the shared folder: later readers start from there.
+
+    The folder outlives the call, since the table is read when the result is.
+    """
+    folder = f"{staging_root(frame.sparkSession)}/rollcall-{uuid.uuid4().hex}"
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.parquet(folder)

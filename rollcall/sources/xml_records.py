@@ -21,7 +21,6 @@ import fnmatch
 import re
 import sys
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -45,18 +44,6 @@ _MIB = 1 << 20
 _COMPRESSED = (".gz", ".bz2", ".zst", ".lz4")
 
 
-@dataclass
-class FileRange:
-    path: str
-    start: int
-    end: int | None  # None: to the end of the file, whatever its size
-
-
-@dataclass
-class Ranges(InputPartition):
-    items: list[FileRange]
-
-
 class RecordPattern:
     """Start tags of all kinds and the end tag of each."""
 
@@ -147,55 +134,60 @@ class XmlRecordReader(DataSourceReader):
             raise ValueError("byte sizes must be positive")
 
     def partitions(self) -> list[InputPartition]:
+        """Each partition is a list of ``(path, start, end)``; no end means the whole file.
+
+        They are Spark's own class around plain tuples: there can be a million
+        of them, and each travels on its own.
+        """
         files = list_files(self.path, self.recursive)
         # as Spark plans its own files: smaller ranges when there is little to read
         total = sum(size + self.open_cost for _, size in files)
         split = min(self.split_bytes, max(self.open_cost, total // self.min_partitions, 1))
-        whole, packed, room = [], [], 0
+        planned, packed, room = [], [], 0
         for path, size in files:
             if path.endswith(_COMPRESSED):
-                whole.append(Ranges([FileRange(path, 0, None)]))
+                planned.append([(path, 0, None)])
                 continue
             start = 0
             while size - start > split:
-                whole.append(Ranges([FileRange(path, start, start + split)]))
+                planned.append([(path, start, start + split)])
                 start += split
             if start == size:
                 continue
             cost = size - start + self.open_cost
             if cost > room or not packed:
-                packed.append(Ranges([]))
+                packed.append([])
                 room = split
-            packed[-1].items.append(FileRange(path, start, size))
+            packed[-1].append((path, start, size))
             room -= cost
-        return whole + packed
+        return [InputPartition(ranges) for ranges in planned + packed]
 
-    def read(self, partition: Ranges):
+    def read(self, partition: InputPartition):
         pattern = RecordPattern(self.kinds, self.require_attributes)
-        for item in partition.items:
-            yield from self._batches(item, pattern)
+        for path, start, end in partition.value:
+            yield from self._batches(path, start, end, pattern)
 
-    def _batches(self, item: FileRange, pattern: RecordPattern):
-        files, inside = open_path(item.path)
-        if item.end is None:
+    def _batches(self, path: str, start: int, end: int | None, pattern: RecordPattern):
+        files, inside = open_path(path)
+        if end is None:
             stream = files.open_input_stream(inside, compression="detect")
         else:
             stream = files.open_input_file(inside)
-            stream.seek(item.start)
+            stream.seek(start)
         kinds, raws, offsets, held = [], [], [], 0
         with stream:
             for kind, raw, offset in scan_range(
-                stream.read, item.start, item.end, pattern, self.block_bytes, self.max_record
+                stream.read, start, end, pattern, self.block_bytes, self.max_record
             ):
                 kinds.append(kind)
                 raws.append(raw)
                 offsets.append(offset)
                 held += len(raw)
                 if held >= self.batch_bytes:
-                    yield self._batch(item.path, offsets, kinds, raws)
+                    yield self._batch(path, offsets, kinds, raws)
                     kinds, raws, offsets, held = [], [], [], 0
         if raws:
-            yield self._batch(item.path, offsets, kinds, raws)
+            yield self._batch(path, offsets, kinds, raws)
 
     def _batch(self, path: str, offsets: list[int], kinds: list[bytes], raws: list[bytes]):
         import pyarrow as pa
@@ -232,9 +224,12 @@ def open_path(path: str):
     """File system and the path inside it; a bare path is local to the node."""
     from pyarrow import fs
 
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path.removeprefix("file:")
+    scheme, found, rest = path.partition("://")
+    if not found:
+        return fs.LocalFileSystem(), path.removeprefix("file:")
+    # Hadoop's names for the same store
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return fs.FileSystem.from_uri(f"{scheme}://{rest}")
 
 
 def list_files(path: str, recursive: bool = False) -> list[tuple[str, int]]:
