@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -151,6 +152,7 @@ def _needs_flattening(member: str, year: str, on_bad: str) -> Column:
 
 def _flatten(fixed: Column, member: str, year: str) -> Column:
     """Take out comments and all tags but the wanted ones, whose depth then is one."""
-    other_tag = rf"</?(?!(?:{member}|{year})[\s/>])[a-zA-Z_!?][^<>]*>"
+    wanted = f"{re.escape(member)}|{re.escape(year)}"
+    other_tag = rf"</?(?!(?:{wanted})[\s/>])[a-zA-Z_!?][^<>]*>"
     bare = F.regexp_replace(F.regexp_replace(fixed, _COMMENT, ""), other_tag, "")
     return F.concat(F.lit("<r>"), bare, F.lit("</r>"))

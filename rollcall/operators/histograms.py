@@ -43,9 +43,14 @@ def bin_sizes(histogram: DataFrame, bins: Sequence[Bin]) -> DataFrame:
 def bin_by_category(
     histogram: DataFrame, bins: Sequence[Bin], categories: Sequence[str], *, category: str = "category"
 ) -> DataFrame:
-    """Roll ``(n, category, records)`` up: every bin with every category, zeros included."""
+    """Roll ``(n, category, records)`` up: every bin with every category, zeros included.
+
+    Other categories do not count, but their sizes still set the label of an
+    open bin.
+    """
     names = list(dict.fromkeys(categories))
-    cells = _in_bins(histogram, bins).groupBy("pos", F.col(category).alias("key")).agg(
+    key = F.when(F.col(category).isin(names), F.col(category)).alias("key")
+    cells = _in_bins(histogram, bins).groupBy("pos", key).agg(
         F.sum("records").alias("records"), F.max("n").alias("top")
     )
     return _dense(cells, bins, [(name, name) for name in names], category)

@@ -30,17 +30,26 @@ def record_sizes(rows: DataFrame, record: str, member: str) -> DataFrame:
 
 
 def attach_records(
-    rows: DataFrame, records: DataFrame, record: str, *, size: str = "n", largest: int = 1000
+    rows: DataFrame,
+    records: DataFrame,
+    record: str,
+    *,
+    size: str = "n",
+    largest: int = 1000,
+    at_least: int = 10_000,
 ) -> DataFrame:
     """Inner join of a long table with its records (one row each), safe for huge records.
 
-    The ``largest`` records by size are broadcast, so their rows are matched
-    where they lie and never meet in one task.  That table has ``largest`` rows
-    at most, and a record outside it holds less than ``1/largest`` of all rows,
-    so the shuffle join of the rest is even.
+    Records of ``at_least`` members, the ``largest`` of them if there are more,
+    are broadcast: their rows are matched where they lie and never meet in one
+    task.  That table has ``largest`` rows at most.  A record outside it holds
+    less than ``at_least`` rows or less than ``1/largest`` of all rows, so the
+    shuffle join of the rest is even.  Where no record is that large, the
+    adaptive plan drops the broadcast branch before it runs.
     """
     keyed = records.where(F.col(record).isNotNull())
-    top = keyed.orderBy(F.desc(size), record).limit(largest)
-    in_place = rows.join(F.broadcast(top), record)
-    rest = rows.join(F.broadcast(top.select(record)), record, "left_anti")
+    huge = keyed.where(F.col(size) >= at_least).orderBy(F.desc(size), record).limit(largest)
+    marked = rows.join(F.broadcast(huge), record, "left")
+    in_place = marked.where(F.col(size).isNotNull())
+    rest = marked.where(F.col(size).isNull()).select(*rows.columns)
     return in_place.unionByName(rest.join(keyed, record))

@@ -1,5 +1,8 @@
 """Repair and extraction, one untidy shape at a time."""
 
+import random
+from xml.etree import ElementTree
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +114,43 @@ def test_text_is_parsed_once(spark):
     plan = good.where((F.col("n") > 0) & (F.col("year") > 1900))._jdf.queryExecution().optimizedPlan().toString()
     # the direct parse and the one of flattened text, which runs only where needed
     assert plan.count("from_xml(") == 2
+
+
+def random_record(rng):
+    """Sound markup around untidy text, with members at any depth."""
+    words = ["Ann", "B & C", "K&ouml;hn", "x < 3", "<1 y>", "é\n", " ", "", "D-E, F", "it's"]
+
+    def text():
+        return "".join(rng.choice(words) for _ in range(rng.randint(0, 3)))
+
+    def element(depth):
+        kind = rng.random()
+        if kind < 0.4:
+            attribute = rng.choice(["", ' o="1"', " o='a b'"])
+            inner = rng.choice([text(), f"{text()}<i>{text()}</i>{text()}"])
+            return f"<author{attribute}>{inner}</author>"
+        if kind < 0.5:
+            return f"<year>{rng.choice(['1999', '2001', 'n.d.', ''])}</year>"
+        if kind < 0.6:
+            return rng.choice(["<author/>", "<year/>", "<hr/>", "<!-- <author>no</author> -->"])
+        if depth < 3:
+            return f"<part>{''.join(element(depth + 1) for _ in range(rng.randint(0, 3)))}</part>"
+        return f"<title>{text()}</title>"
+
+    return f"<article k='1'>{''.join(element(0) for _ in range(rng.randint(0, 6)))}</article>"
+
+
+def test_random_records_against_a_tree_parser(spark):
+    """Fields of the repaired text as another XML parser sees them."""
+    rng = random.Random(11)
+    texts = [random_record(rng) for _ in range(600)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, raw string").repartition(8)
+    fixed = dict(frame.select("id", repair("raw")).collect())
+    for row in extract_groups(frame).collect():
+        root = ElementTree.fromstring(fixed[row["id"]])
+        members = ["".join(e.itertext()) for e in root.iter("author")]
+        years = [t for t in ("".join(e.itertext()) for e in root.iter("year")) if t]
+        assert row["_corrupt_record"] is None, texts[row["id"]]
+        assert row["members"] == [m for m in members if m], texts[row["id"]]
+        expected = int(years[-1]) if years and years[-1].isdigit() else None
+        assert row["year"] == expected, texts[row["id"]]

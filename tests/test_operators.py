@@ -174,8 +174,8 @@ def test_stats(data, rows):
     assert exact == {m: pytest.approx(sum(v) / len(v)) for m, v in fellows.items()}
 
 
-@pytest.mark.parametrize("largest", [1, 3, 1000])
-def test_long_tables_with_a_huge_record(spark, rows, largest):
+@pytest.mark.parametrize("largest, at_least", [(1, 1), (3, 1), (1000, 1), (1000, 500), (1000, 10_000)])
+def test_long_tables_with_a_huge_record(spark, rows, largest, at_least):
     rng = random.Random(3)
     items = [(1, f"m{i % 7}") for i in range(1000)]  # a third of all rows
     items += [(rng.randint(2, 300), f"m{rng.randint(0, 40)}") for _ in range(2000)]
@@ -184,7 +184,9 @@ def test_long_tables_with_a_huge_record(spark, rows, largest):
     sizes = record_sizes(frame, "record", "member").where("record IS NOT NULL")
     counted = Counter(r for r, m in items if m and r)
     assert rows(sizes) == sorted(counted.items(), key=repr)
-    attached = attach_records(frame.where("member IS NOT NULL"), sizes, "record", largest=largest)
+    attached = attach_records(
+        frame.where("member IS NOT NULL"), sizes, "record", largest=largest, at_least=at_least
+    )
     assert rows(attached) == sorted(((r, m, counted[r]) for r, m in items if r and m), key=repr)
 
 
