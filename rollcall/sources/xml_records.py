@@ -221,7 +221,7 @@ class XmlRecordSource(DataSource):
 
 
 def open_path(path: str):
-    """File system and the path inside it; a bare path is local to the node."""
+    """File system and the path inside it; without a scheme, the node's own."""
     from pyarrow import fs
 
     scheme, found, rest = path.partition("://")
@@ -286,7 +286,17 @@ def read_xml_records(spark: SparkSession, path: str, **options) -> DataFrame:
         if key == "kinds" and not isinstance(value, str):
             value = ",".join(value)
         reader = reader.option(key.replace("_", ""), value)
-    return reader.load(path)
+    return reader.load(_qualified(spark, path))
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A bare path means Spark's default file system, here as everywhere else."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    return files.makeQualified(path).toString()
 
 
 def _conf_bytes(spark: SparkSession, key: str) -> int:
