@@ -197,6 +197,38 @@ def xml_member_stats_by_category(spark, folder):
     return member_stats(explode_members(_groups(spark, folder), ["category"]), ["category"])
 
 
+# --- pages as they are ------------------------------------------------------
+
+
+def _page_records(spark, folder, kind, **options):
+    return read_xml_records(spark, documents.written_pages(spark, folder), kinds=[kind], **options)
+
+
+def page_articles(spark, folder):
+    return _page_records(spark, folder, "article", require_attributes=False).select("kind", "raw")
+
+
+def page_links(spark, folder):
+    return _page_records(spark, folder, "a").select("kind", "raw")
+
+
+def _link_lists(spark, folder):
+    records = _page_records(spark, folder, "nav", require_attributes=False)
+    return extract_groups(records, member="a", on_bad="fail")
+
+
+def page_link_sizes(spark, folder):
+    return size_histogram(_link_lists(spark, folder))
+
+
+def page_link_scores(spark, folder):
+    return contribution_scores(explode_members(_link_lists(spark, folder)))
+
+
+def page_link_stats(spark, folder):
+    return member_stats(explode_members(_link_lists(spark, folder)))
+
+
 # --- written and read back --------------------------------------------------
 
 
@@ -278,6 +310,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "xml_top_bottom": xml_top_bottom,
         "xml_member_stats": xml_member_stats,
         "xml_member_stats_by_category": xml_member_stats_by_category,
+        "page_articles": page_articles,
+        "page_links": page_links,
+        "page_link_sizes": page_link_sizes,
+        "page_link_scores": page_link_scores,
+        "page_link_stats": page_link_stats,
         "key_value_round_trip": key_value_round_trip,
         "table_round_trip": table_round_trip,
         "report_round_trip": report_round_trip,
@@ -363,6 +400,16 @@ _DOC_MEMBERS = (
 )"""
 )
 
+# Pages: the texts of the links in each page's link list.
+_LINK_LISTS = r"""
+records AS (
+  SELECT links AS members, CAST(len(links) AS BIGINT) AS n
+  FROM (SELECT [w FOR w IN regexp_extract_all(replace(nav, chr(10), ''),
+      '<a href="[^"]*">([^<]*)</a>', 1) IF w <> ''] AS links
+    FROM (SELECT unnest(regexp_extract_all(html, '(?s)<nav[\s>].*?</nav>')) AS nav FROM pages))
+), members AS (
+  SELECT unnest(members) AS member, n FROM records
+)"""
 _HISTOGRAM = "SELECT CAST(n AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS records FROM {t} WHERE n > 0 GROUP BY n"
 _BINS = """
 bins(pos, label, lo, hi) AS (VALUES (0, '1', 1, 1), (1, '2', 2, 2), (2, '3', 3, 3),
@@ -483,6 +530,13 @@ SELECT kind, raw FROM xml WHERE source <> 'src19' AND kind IN ('article', 'www')
         "xml_top_bottom": _RANKS.format(members=_DOC_MEMBERS),
         "xml_member_stats": doc_stats,
         "xml_member_stats_by_category": doc_stats_by,
+        "page_articles": r"""
+SELECT 'article' AS kind, unnest(regexp_extract_all(html, '(?s)<article[\s>].*?</article>')) AS raw FROM pages""",
+        "page_links": r"""
+SELECT 'a' AS kind, unnest(regexp_extract_all(html, '(?s)<a .*?</a>')) AS raw FROM pages""",
+        "page_link_sizes": f"WITH {_LINK_LISTS} {_HISTOGRAM.format(t='records')}",
+        "page_link_scores": f"WITH {_LINK_LISTS} {_SCORES}",
+        "page_link_stats": f"WITH {_LINK_LISTS} {_STATS_ALL}",
         "key_value_round_trip": doc_scores,
         "table_round_trip": doc_stats,
         "report_round_trip": order_range,

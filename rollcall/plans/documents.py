@@ -1,11 +1,15 @@
-"""Documents written out as XML records, their words as members.
+"""Texts written out as files for the record scan.
 
-The text is made untidy on purpose, by the source of the document, so that the
-scan, the repair and the parse meet every shape they have to handle.
+Documents become XML records with their words as members.  Their markup is made
+untidy on purpose, by the source of the document, so that the scan, the repair
+and the parse meet every shape they have to handle.  Pages are written as they
+are: their articles, links and link lists are records too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,14 +82,29 @@ def _years(source: Column) -> Column:
     )
 
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
 
 
 def written_documents(spark: SparkSession, folder: str) -> str:
     """Folder of XML files with every document, written once per application."""
-    key = (spark.sparkContext.applicationId, folder)
+    return _written_once(spark, folder, "documents", document_records)
+
+
+def written_pages(spark: SparkSession, folder: str) -> str:
+    """Folder of files with every page, written once per application."""
+    return _written_once(spark, folder, "pages", page_texts)
+
+
+def page_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/pages.parquet").select(F.col("html").alias("raw"))
+
+
+def _written_once(
+    spark: SparkSession, folder: str, name: str, texts: Callable[[SparkSession, str], DataFrame]
+) -> str:
+    key = (spark.sparkContext.applicationId, name, folder)
     if key not in _written:
-        target = f"{staging_root(spark)}/rollcall-documents-{key[0]}-{len(_written)}"
-        document_records(spark, folder).select("raw").write.mode("overwrite").text(target)
+        target = f"{staging_root(spark)}/rollcall-{name}-{key[0]}-{len(_written)}"
+        texts(spark, folder).select("raw").write.mode("overwrite").text(target)
         _written[key] = target
     return _written[key]
