@@ -58,7 +58,8 @@ def size_histogram_binned(spark, folder):
 def category_lookup(spark, folder):
     table = spark.read.parquet(f"{folder}/orders.parquet")
     category = category_of("o_orderpriority", parse_categories(orders.CATEGORIES))
-    return table.select("o_orderkey", F.col("o_orderpriority").alias("kind"), category.alias("category"))
+    kind = F.col("o_orderpriority").alias("kind")
+    return table.select("o_orderkey", kind, category.alias("category"))
 
 
 def size_by_category(spark, folder):
@@ -67,7 +68,8 @@ def size_by_category(spark, folder):
 
 def size_by_category_binned(spark, folder):
     categories = parse_categories(orders.CATEGORIES).values()
-    return bin_by_category(size_by_category(spark, folder), parse_bins(orders.BINS), list(categories))
+    histogram = size_by_category(spark, folder)
+    return bin_by_category(histogram, parse_bins(orders.BINS), list(categories))
 
 
 def size_by_year(spark, folder):
@@ -81,9 +83,8 @@ def size_by_range_binned(spark, folder):
 
 def member_shares(spark, folder):
     rows = orders.order_memberships(spark, folder)
-    return rows.select(
-        "l_orderkey", "member", share_hundredths("n").alias("hundredths"), co_members("n").alias("fellows")
-    )
+    share = share_hundredths("n").alias("hundredths")
+    return rows.select("l_orderkey", "member", share, co_members("n").alias("fellows"))
 
 
 def contribution_score(spark, folder):
@@ -148,7 +149,8 @@ def _extracted(spark, folder, on_bad="quarantine"):
 
 def extract_fields(spark, folder):
     good, _ = split_bad(_extracted(spark, folder))
-    return good.select("kind", "year", F.col("n").cast("bigint"), F.array_join("members", "|").alias("members"))
+    members = F.array_join("members", "|").alias("members")
+    return good.select("kind", "year", F.col("n").cast("bigint"), members)
 
 
 def bad_records(spark, folder):

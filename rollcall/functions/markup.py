@@ -15,7 +15,8 @@ CORRUPT = "_corrupt_record"
 # '<' before something no tag can start with; and the same closed by '>'
 _LONE_BRACKET = r"<(?![/a-zA-Z_!?])"
 _STRAY_TAG = _LONE_BRACKET + r"([^<>]+)>"
-_COMMENT = r"(?s)<!--.*?-->"
+_CHARACTER_DATA = r"(<!\[CDATA\[.*?\]\]>)"
+_COMMENT = r"<!--.*?-->"
 
 
 def repair(raw: Column | str) -> Column:
@@ -74,14 +75,11 @@ def extract_groups(
     direct = fixed.select(
         *passed, "_fixed", _parse(F.col("_fixed"), member, year, on_bad).alias("_direct")
     )
+    flat = _parse(_flatten(F.col("_fixed"), member, year), member, year, on_bad)
     parsed = direct.select(
         *passed,
         F.coalesce(
-            F.when(
-                _needs_flattening(member, year, on_bad),
-                _parse(_flatten(F.col("_fixed"), member, year), member, year, on_bad),
-            ),
-            F.col("_direct"),
+            F.when(_needs_flattening(member, year, on_bad), flat), F.col("_direct")
         ).alias("_found"),
     )
     found = F.col("_found")
@@ -133,26 +131,36 @@ def _texts(elements: Column) -> Column:
 
 
 def _needs_flattening(member: str, year: str, on_bad: str) -> Column:
-    """Whether the direct parse of a sound record missed something.
+    """Whether the direct parse of a sound record may have missed something.
 
-    ``from_xml`` sees direct children only, and gives their text with inline
-    tags left in.  So the record needs another look when it closes more member
-    or year elements than were found with text, or when a text holds a bracket.
+    ``from_xml`` sees direct children only, takes names in any case unless
+    ``spark.sql.caseSensitive`` is on, and leaves inline tags in texts.  So the
+    record needs another look when it closes other numbers of member or year
+    elements than were found with text, closes some in another case, or when a
+    text holds a bracket.
     """
     fixed, direct = F.col("_fixed"), F.col("_direct")
-    closed, found = F.lit(0), F.lit(0)
+    texts = F.coalesce(F.array_join(direct[member], ""), F.lit(""))
+    missed = F.contains(texts, F.lit("<"))
     for name in (member, year):
-        closing = f"</{name}"
-        without = F.octet_length(F.replace(fixed, F.lit(closing), F.lit("")))
-        closed += F.call_function("div", F.octet_length(fixed) - without, F.lit(len(closing.encode())))
-        found += F.coalesce(F.size(F.array_remove(direct[name], "")), F.lit(0))
-    missed = (closed > found) | F.contains(F.array_join(direct[member], ""), F.lit("<"))
+        closed = _occurrences(fixed, f"</{name}")
+        in_any_case = _occurrences(F.lower(fixed), f"</{name}".lower())
+        found = F.size(F.array_remove(direct[name], ""))
+        missed = missed | (closed != F.coalesce(found, F.lit(0))) | (closed != in_any_case)
     return missed if on_bad == "fail" else direct[CORRUPT].isNull() & missed
 
 
+def _occurrences(text: Column, part: str) -> Column:
+    without = F.octet_length(F.replace(text, F.lit(part), F.lit("")))
+    return F.call_function("div", F.octet_length(text) - without, F.lit(len(part.encode())))
+
+
 def _flatten(fixed: Column, member: str, year: str) -> Column:
-    """Take out comments and all tags but the wanted ones, whose depth then is one."""
+    """Take out comments and all tags but the wanted ones, whose depth then is one.
+
+    Character data sections stay, so that tags quoted in them stay text.
+    """
     wanted = f"{re.escape(member)}|{re.escape(year)}"
     other_tag = rf"</?(?!(?:{wanted})[\s/>])[a-zA-Z_!?][^<>]*>"
-    bare = F.regexp_replace(F.regexp_replace(fixed, _COMMENT, ""), other_tag, "")
+    bare = F.regexp_replace(fixed, f"{_CHARACTER_DATA}|{_COMMENT}|{other_tag}", "$1")
     return F.concat(F.lit("<r>"), bare, F.lit("</r>"))

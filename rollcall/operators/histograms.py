@@ -41,7 +41,11 @@ def bin_sizes(histogram: DataFrame, bins: Sequence[Bin]) -> DataFrame:
 
 
 def bin_by_category(
-    histogram: DataFrame, bins: Sequence[Bin], categories: Sequence[str], *, category: str = "category"
+    histogram: DataFrame,
+    bins: Sequence[Bin],
+    categories: Sequence[str],
+    *,
+    category: str = "category",
 ) -> DataFrame:
     """Roll ``(n, category, records)`` up: every bin with every category, zeros included.
 
@@ -57,7 +61,12 @@ def bin_by_category(
 
 
 def bin_by_range(
-    histogram: DataFrame, bins: Sequence[Bin], ranges: Sequence[Bin], *, value: str = "year", range_name: str = "range"
+    histogram: DataFrame,
+    bins: Sequence[Bin],
+    ranges: Sequence[Bin],
+    *,
+    value: str = "year",
+    range_name: str = "range",
 ) -> DataFrame:
     """Roll ``(n, value, records)`` up: every bin with every value range, zeros included.
 
@@ -114,7 +123,9 @@ def _dense(
     found = cells.groupBy("pos").agg(
         F.map_from_entries(F.collect_list(entry)).alias("counts"), F.max("top").alias("top")
     )
-    wanted = F.array(*[F.struct(F.lit(key).alias("key"), F.lit(label).alias("label")) for key, label in keys])
+    wanted = F.array(
+        *[F.struct(F.lit(key).alias("key"), F.lit(label).alias("label")) for key, label in keys]
+    )
     grid = _with_bins(found, bins).select(
         "pos", _label().alias("bin"), "counts", F.posexplode(wanted).alias("at", "wanted")
     )

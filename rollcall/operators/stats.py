@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from rollcall.functions.measures import co_members
 
 
-def member_stats(memberships: DataFrame, by: Sequence[str] = (), *, exact_mean: bool = False) -> DataFrame:
+def member_stats(
+    memberships: DataFrame, by: Sequence[str] = (), *, exact_mean: bool = False
+) -> DataFrame:
     """Mean, median, minimum and maximum of ``n - 1`` per member (and ``by``).
 
     ``mean`` is the whole part of the mean, ``median`` the upper median; rows
@@ -21,9 +23,11 @@ def member_stats(memberships: DataFrame, by: Sequence[str] = (), *, exact_mean:
         kept = kept.where(F.col(name).isNotNull())
     fellows = kept.select("member", *by, co_members("n").alias("fellows"))
     total, rows = F.sum("fellows"), F.count(F.lit(1))
+    # the middle from above; Spark keeps a count per value, so the state is small
+    median = F.expr("percentile_disc(0.5) within group (order by fellows desc)")
     columns = [
         F.call_function("div", total, rows).alias("mean"),
-        F.expr("percentile_disc(0.5) within group (order by fellows desc)").cast("bigint").alias("median"),
+        median.cast("bigint").alias("median"),
         F.min("fellows").alias("min"),
         F.max("fellows").alias("max"),
     ]

@@ -160,20 +160,24 @@ def _jobs(settings: Settings) -> dict[str, Callable]:
     ranges = parse_ranges(settings.year_ranges)
     categories = list(parse_categories(settings.categories).values())
 
+    def counts(histogram, place, job, mode):
+        target = f"{place(FOLDERS[job])}/counts"
+        write_key_values(histogram.orderBy(*histogram.columns[:-1]), target, mode=mode)
+
     def by_size(groups, place, report, folder, mode):
         histogram = size_histogram(groups)
-        write_key_values(histogram.orderBy("n"), f"{place(FOLDERS['AuthorCount'])}/counts", mode=mode)
+        counts(histogram, place, "AuthorCount", mode)
         write_report(bin_sizes(histogram, bins), report, HEADERS["AuthorCount"], mode=mode)
 
     def by_category(groups, place, report, folder, mode):
         histogram = size_histogram(groups, ["category"])
-        write_key_values(histogram.orderBy("n", "category"), f"{place(FOLDERS['PublicationVenueStratification'])}/counts", mode=mode)
+        counts(histogram, place, "PublicationVenueStratification", mode)
         table = bin_by_category(histogram, bins, categories)
         write_report(table, report, HEADERS["PublicationVenueStratification"], mode=mode)
 
     def by_year(groups, place, report, folder, mode):
         histogram = size_histogram(groups, ["year"])
-        write_key_values(histogram.orderBy("n", "year"), f"{place(FOLDERS['PublicationYearStratification'])}/counts", mode=mode)
+        counts(histogram, place, "PublicationYearStratification", mode)
         table = bin_by_range(histogram, bins, ranges)
         write_report(table, report, HEADERS["PublicationYearStratification"], mode=mode)
 

@@ -43,6 +43,13 @@ MEMBERS = {
     "nested": ("<article k='1'><p><author>B</author></p><author>A</author><q><r><author>C</author></r></q></article>", ["B", "A", "C"]),
     "nested behind an empty one": ("<article k='1'><author/><p><author>B</author></p></article>", ["B"]),
     "comment": ("<article k='1'><!-- <author>no</author> --><author>A</author></article>", ["A"]),
+    "character data": (
+        "<article k='1'><t><![CDATA[a > <author>no</author> <b>]]></t><p><author><![CDATA[x<y> z]]></author></p></article>",
+        ["x<y> z"],
+    ),
+    "other case": ("<article k='1'><Author>no</Author><author>A</author></article>", ["A"]),
+    "only other case": ("<article k='1'><AUTHOR>no</AUTHOR></article>", []),
+    "bracket in an attribute": ("<article k='1'><p t='a>b'><author>A</author></p></article>", ["A"]),
     "longer name": ("<article k='1'><authors>x</authors><author>A</author></article>", ["A"]),
 }
 
