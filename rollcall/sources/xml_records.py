@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 # The record kinds scanned by default.
 DEFAULT_KINDS = (
@@ -38,6 +38,7 @@ DEFAULT_KINDS = (
     "www",
 )
 
+FILTER_PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 SCHEMA = "path string, end_offset bigint, kind string, raw string"
 
 _MIB = 1 << 20
@@ -121,6 +122,7 @@ class XmlRecordReader(DataSourceReader):
         self.path = path
         kinds = [kind.strip() for kind in options.get("kinds", "").split(",") if kind.strip()]
         self.kinds = kinds or list(DEFAULT_KINDS)
+        self.wanted = set(self.kinds)
         self.require_attributes = options.get("requireattributes", "true").lower() != "false"
         self.recursive = options.get("recursive", "false").lower() == "true"
         self.split_bytes = int(options.get("splitbytes", 128 * _MIB))
@@ -174,11 +176,14 @@ class XmlRecordReader(DataSourceReader):
         else:
             stream = files.open_input_file(inside)
             stream.seek(start)
+        wanted = {kind.encode() for kind in self.wanted}
         kinds, raws, offsets, held = [], [], [], 0
         with stream:
             for kind, raw, offset in scan_range(
                 stream.read, start, end, pattern, self.block_bytes, self.max_record
             ):
+                if kind not in wanted:
+                    continue
                 kinds.append(kind)
                 raws.append(raw)
                 offsets.append(offset)
@@ -203,11 +208,29 @@ class XmlRecordReader(DataSourceReader):
         )
 
 
+class KindFilteringReader(XmlRecordReader):
+    """Leaves out records whose kind a filter on the scan does not want.
+
+    All kinds are still scanned, since the start of any record can end another.
+    """
+
+    def pushFilters(self, filters):
+        for pushed in filters:
+            if isinstance(pushed, EqualTo) and pushed.attribute == ("kind",):
+                self.wanted &= {pushed.value}
+            elif isinstance(pushed, In) and pushed.attribute == ("kind",):
+                self.wanted &= set(pushed.value)
+            else:
+                yield pushed
+
+
 class XmlRecordSource(DataSource):
     """Options: ``path`` (file, directory or glob), ``kinds`` (comma separated),
     ``requireAttributes`` (a start tag must be followed by a blank; default true),
     ``recursive``, ``splitBytes``, ``openCostBytes``, ``minPartitions``,
-    ``blockBytes``, ``batchBytes``, ``maxRecordBytes`` and ``encoding``."""
+    ``blockBytes``, ``batchBytes``, ``maxRecordBytes``, ``encoding`` and
+    ``pushFilters`` (Spark takes it only from sessions with
+    ``spark.sql.python.filterPushdown.enabled``)."""
 
     @classmethod
     def name(cls) -> str:
@@ -217,7 +240,9 @@ class XmlRecordSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return XmlRecordReader({key.lower(): value for key, value in self.options.items()})
+        options = {key.lower(): value for key, value in self.options.items()}
+        pushes = options.get("pushfilters", "false").lower() == "true"
+        return (KindFilteringReader if pushes else XmlRecordReader)(options)
 
 
 def open_path(path: str):
@@ -273,13 +298,16 @@ def read_xml_records(spark: SparkSession, path: str, **options) -> DataFrame:
 
     Ranges follow ``spark.sql.files.maxPartitionBytes`` and the cluster's cores
     unless ``split_bytes`` says otherwise.  The reader's code travels with the
-    plan, so executors need no installed copy of this package.
+    plan, so executors need no installed copy of this package.  A filter on
+    ``kind`` reaches the scan where the session has filter pushdown for Python
+    sources switched on.
     """
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(XmlRecordSource)
     if "split_bytes" not in options:
         options["split_bytes"] = _conf_bytes(spark, "spark.sql.files.maxPartitionBytes")
         options.setdefault("min_partitions", spark.sparkContext.defaultParallelism)
+    options.setdefault("push_filters", spark.conf.get(FILTER_PUSHDOWN, "false"))
     options.setdefault("open_cost_bytes", _conf_bytes(spark, "spark.sql.files.openCostInBytes"))
     reader = spark.read.format("xml_records")
     for key, value in options.items():
