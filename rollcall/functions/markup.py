@@ -143,10 +143,10 @@ def _needs_flattening(member: str, year: str, on_bad: str) -> Column:
     texts = F.coalesce(F.array_join(direct[member], ""), F.lit(""))
     missed = F.contains(texts, F.lit("<"))
     for name in (member, year):
-        closed = _occurrences(fixed, f"</{name}")
-        in_any_case = _occurrences(F.lower(fixed), f"</{name}".lower())
         found = F.size(F.array_remove(direct[name], ""))
-        missed = missed | (closed != F.coalesce(found, F.lit(0))) | (closed != in_any_case)
+        missed = missed | (_occurrences(fixed, f"</{name}") != F.coalesce(found, F.lit(0)))
+    names = f"{re.escape(member)}|{re.escape(year)}"
+    missed = missed | F.rlike(fixed, F.lit(f"</(?!{names})(?iu:{names})"))
     return missed if on_bad == "fail" else direct[CORRUPT].isNull() & missed
 
 

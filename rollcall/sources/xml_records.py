@@ -129,7 +129,7 @@ class XmlRecordReader(DataSourceReader):
         self.open_cost = int(options.get("opencostbytes", 4 * _MIB))
         self.min_partitions = int(options.get("minpartitions", 1))
         self.block_bytes = int(options.get("blockbytes", 4 * _MIB))
-        self.batch_bytes = int(options.get("batchbytes", 8 * _MIB))
+        self.batch_bytes = int(options.get("batchbytes", 2 * _MIB))
         self.max_record = int(options.get("maxrecordbytes", 256 * _MIB))
         self.encoding = options.get("encoding", "utf-8")
         if min(self.split_bytes, self.block_bytes, self.batch_bytes, self.max_record) < 1:

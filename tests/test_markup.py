@@ -48,6 +48,10 @@ MEMBERS = {
         ["x<y> z"],
     ),
     "other case": ("<article k='1'><Author>no</Author><author>A</author></article>", ["A"]),
+    "other case and nested": (
+        "<article k='1'><aUTHOR>no</aUTHOR><p><author>A</author></p></article>",
+        ["A"],
+    ),
     "only other case": ("<article k='1'><AUTHOR>no</AUTHOR></article>", []),
     "bracket in an attribute": ("<article k='1'><p t='a>b'><author>A</author></p></article>", ["A"]),
     "longer name": ("<article k='1'><authors>x</authors><author>A</author></article>", ["A"]),
