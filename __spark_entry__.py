@@ -36,6 +36,14 @@ from rollcall.plans.suite import (
 from rollcall.sinks import write_key_values, write_report, write_table
 from rollcall.sources import read_results, read_xml_records
 
+try:  # an optional subpackage and its pipeline
+    import corpus_pipeline
+    from rollcall.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not {missing.name} & {"corpus_pipeline", "rollcall.llm"}:
+        raise
+    corpus_pipeline = llm_queries = None
+
 TOP = 20
 
 
@@ -281,6 +289,17 @@ def _with_lines(lines, job, table):
     return named if lines is None else lines.unionAll(named)
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run} if llm_queries else {}
+
+
+def _llm_sql() -> dict[str, str]:
+    if not llm_queries:
+        return {}
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm_queries.ORACLE_SQL, **whole}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "size_histogram": size_histogram_query,
@@ -321,6 +340,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_round_trip": table_round_trip,
         "report_round_trip": report_round_trip,
         "job_suite": job_suite,
+        **_llm_queries(),
     }
 
 
@@ -543,4 +563,5 @@ SELECT 'a' AS kind, unnest(regexp_extract_all(html, '(?s)<a .*?</a>')) AS raw FR
         "table_round_trip": doc_stats,
         "report_round_trip": order_range,
         "job_suite": suite,
+        **_llm_sql(),
     }
