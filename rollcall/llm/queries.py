@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from rollcall.llm.byte_bpe import op7_byte_bpe
+from rollcall.llm.language_id import op10_language_id
+from rollcall.llm.sharding import op6_sharding
 from rollcall.llm.token_counts import op4_token_counts
 
 QUERIES = {
     "op4_token_counts": op4_token_counts,
+    "op6_sharding": op6_sharding,
     "op7_byte_bpe": op7_byte_bpe,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
