@@ -6,12 +6,19 @@ from rollcall.llm.byte_bpe import op7_byte_bpe
 from rollcall.llm.language_id import op10_language_id
 from rollcall.llm.sharding import op6_sharding
 from rollcall.llm.token_counts import op4_token_counts
+from rollcall.llm.tool_calls import OP9_SQL, op9_tool_calls
+from rollcall.llm.url_filters import OP3_SQL, op3_url_filters
 
 QUERIES = {
+    "op3_url_filters": op3_url_filters,
     "op4_token_counts": op4_token_counts,
     "op6_sharding": op6_sharding,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_tool_calls": op9_tool_calls,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_url_filters": OP3_SQL,
+    "op9_tool_calls": OP9_SQL,
+}
