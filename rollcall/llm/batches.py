@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = PIECE_BY
     """The batches cut so that ``column`` holds about ``limit`` bytes in each."""
     for batch in batches:
         start, size = 0, 0
-        lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).to_pylist()
         for row, length in enumerate(lengths):
             if row > start and size + (length or 0) > limit:
                 yield batch.slice(start, row - start)
