@@ -34,7 +34,7 @@ EXHAUSTIVE = 5
 #: N-grams of the text for which the classifiers' hit rates are worked out.
 TYPICAL = 40
 #: Loss by which the second codeword has to be worse, or the text is ambiguous.
-MARGIN = 0.1
+MARGIN = 0.02
 _PIECE_BYTES = 1 << 19
 _LETTER = regex.compile(r"\p{L}").search
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rollcall.llm.byte_bpe import op7_byte_bpe
+from rollcall.llm.embedding_dups import op5_embedding_dups
 from rollcall.llm.language_id import op10_language_id
 from rollcall.llm.sharding import op6_sharding
 from rollcall.llm.token_counts import op4_token_counts
@@ -12,6 +13,7 @@ from rollcall.llm.url_filters import OP3_SQL, op3_url_filters
 QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_token_counts": op4_token_counts,
+    "op5_embedding_dups": op5_embedding_dups,
     "op6_sharding": op6_sharding,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_tool_calls": op9_tool_calls,
