@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rollcall.llm.byte_bpe import op7_byte_bpe
 from rollcall.llm.embedding_dups import op5_embedding_dups
+from rollcall.llm.jaccard_join import op2_jaccard_join
 from rollcall.llm.language_id import op10_language_id
 from rollcall.llm.sharding import op6_sharding
 from rollcall.llm.token_counts import op4_token_counts
@@ -11,6 +12,7 @@ from rollcall.llm.tool_calls import OP9_SQL, op9_tool_calls
 from rollcall.llm.url_filters import OP3_SQL, op3_url_filters
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_url_filters": op3_url_filters,
     "op4_token_counts": op4_token_counts,
     "op5_embedding_dups": op5_embedding_dups,
