@@ -7,11 +7,13 @@ from rollcall.llm.embedding_dups import op5_embedding_dups
 from rollcall.llm.jaccard_join import op2_jaccard_join
 from rollcall.llm.language_id import op10_language_id
 from rollcall.llm.sharding import op6_sharding
+from rollcall.llm.suffix_dedup import op1_suffix_dedup
 from rollcall.llm.token_counts import op4_token_counts
 from rollcall.llm.tool_calls import OP9_SQL, op9_tool_calls
 from rollcall.llm.url_filters import OP3_SQL, op3_url_filters
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_url_filters": op3_url_filters,
     "op4_token_counts": op4_token_counts,
