@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rollcall.llm.byte_bpe import op7_byte_bpe
+from rollcall.llm.decontamination import op8_decontamination
 from rollcall.llm.embedding_dups import op5_embedding_dups
 from rollcall.llm.jaccard_join import op2_jaccard_join
 from rollcall.llm.language_id import op10_language_id
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_embedding_dups": op5_embedding_dups,
     "op6_sharding": op6_sharding,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_decontamination": op8_decontamination,
     "op9_tool_calls": op9_tool_calls,
     "op10_language_id": op10_language_id,
 }
