@@ -27,6 +27,16 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = PIECE_BY
             yield batch.slice(start)
 
 
+_TYPES = {
+    "bigint": pa.int64(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+    "array<int>": pa.list_(pa.int32()),
+}
+
+
 def map_texts(
     frame: DataFrame,
     keys: Sequence[str],
@@ -42,11 +52,12 @@ def map_texts(
     kept = frame.select(*[F.col(k) for k in keys], F.col(text).cast("string").alias("_text"))
     schema = ", ".join([f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in keys] + [outputs])
 
+    names, types = zip(*(part.split() for part in outputs.split(", ")))
+
     def run(batches):
         for piece in pieces(batches, "_text"):
             columns = work(piece.column("_text").to_pylist())
-            names = [*keys, *(part.split()[0] for part in outputs.split(", "))]
-            arrays = [piece.column(k) for k in keys] + [pa.array(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            arrays = [piece.column(k) for k in keys] + [pa.array(c, _TYPES[t]) for c, t in zip(columns, types)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keys, *names])
 
     return kept.mapInArrow(run, schema)

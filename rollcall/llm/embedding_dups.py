@@ -159,3 +159,24 @@ def near_vectors(
 
 def op5_embedding_dups(spark, folder):
     return near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+# All pairs of a label; the hashing finds nearly all of these links.
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+), pairs AS (
+  SELECT a.vec_id AS p, b.vec_id AS q FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e)) / sqrt(list_dot_product(b.e, b.e)) >= 0.98
+), reach(r, t) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.r, q FROM reach JOIN pairs ON reach.t = pairs.p
+), least AS (
+  SELECT r AS vec_id, min(t) AS component_id FROM reach GROUP BY r
+)
+SELECT vec_id, CAST((SELECT count(*) FROM pairs WHERE p = embeddings.vec_id) AS BIGINT) AS n_links,
+  component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least USING (vec_id)
+"""

@@ -91,8 +91,8 @@ def signatures(n: int, unique: int, counts: np.ndarray, tokens: np.ndarray, perc
     if n == 1 or unique >= needed:
         return mixed(tokens) if n == 1 else tokens[:0]
     out = []
-    band = math.floor(math.log(n) / math.log(100 / percent) + 1e-9)
-    for meeting in (band, band + 1):
+    band = n if percent == 100 else math.floor(math.log(n) / math.log(100 / percent) + 1e-9)
+    for meeting in (band, band + 1)[: 1 if percent == 100 else 2]:
         cells = 1 + missing(math.ceil((100 / percent) ** (meeting + 1)), percent) // 3
         cell = (mixed(tokens + np.uint64(meeting)) % np.uint64(cells)).astype(np.int64)
         score, frequent = unique, {}
@@ -244,3 +244,28 @@ def jaccard_classes(
 
 def op2_jaccard_join(spark, folder):
     return jaccard_classes(spark.read.parquet(f"{folder}/documents.parquet"), percent=90, size=3)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN generate_series(1, len(w) - 2)]) END AS s
+  FROM d
+), entries AS (
+  SELECT r, len(s) AS n, unnest(s) AS shingle FROM sets
+), pairs AS (
+  SELECT a.r AS p, b.r AS q FROM entries a JOIN entries b ON a.shingle = b.shingle AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach(r, t) AS (
+  SELECT r, r FROM d UNION SELECT reach.r, q FROM reach JOIN pairs ON reach.t = pairs.p
+), least AS (
+  SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.t GROUP BY reach.r
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id,
+  CAST((SELECT count(*) FROM pairs WHERE p = sets.r) AS BIGINT) AS n_links
+FROM sets JOIN least USING (r)
+"""

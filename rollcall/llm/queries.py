@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from rollcall.llm.byte_bpe import op7_byte_bpe
 from rollcall.llm.decontamination import op8_decontamination
-from rollcall.llm.embedding_dups import op5_embedding_dups
-from rollcall.llm.jaccard_join import op2_jaccard_join
+from rollcall.llm.embedding_dups import OP5_SQL, op5_embedding_dups
+from rollcall.llm.jaccard_join import OP2_SQL, op2_jaccard_join
 from rollcall.llm.language_id import op10_language_id
 from rollcall.llm.sharding import op6_sharding
-from rollcall.llm.suffix_dedup import op1_suffix_dedup
+from rollcall.llm.suffix_dedup import OP1_SQL, op1_suffix_dedup
 from rollcall.llm.token_counts import op4_token_counts
 from rollcall.llm.tool_calls import OP9_SQL, op9_tool_calls
 from rollcall.llm.url_filters import OP3_SQL, op3_url_filters
@@ -27,6 +27,9 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": OP1_SQL,
+    "op2_jaccard_join": OP2_SQL,
     "op3_url_filters": OP3_SQL,
+    "op5_embedding_dups": OP5_SQL,
     "op9_tool_calls": OP9_SQL,
 }

@@ -341,3 +341,31 @@ def without_repeats(documents: DataFrame, length: int, key: str = "doc_id", text
 
 def op1_suffix_dedup(spark, folder):
     return removal_digests(spark.read.parquet(f"{folder}/documents.parquet"), 400)
+
+
+# Repeats among all windows of 400 bytes, two hexadecimal digits a byte.
+OP1_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(hex(encode(text)), '') AS h FROM documents
+), windows AS (
+  SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS w
+  FROM (SELECT r, h, unnest(generate_series(0, len(h) // 2 - 400)) AS i FROM d WHERE len(h) >= 800)
+), starts AS (
+  SELECT r, i FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)
+), marked AS (
+  SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM starts
+), numbered AS (
+  SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM marked
+), runs AS (
+  SELECT r, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY r, run
+), parts AS (
+  SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM runs
+), cut AS (
+  SELECT d.r, sum(b - a) AS gone, count(*) AS spans,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM parts JOIN d USING (r) GROUP BY d.r
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""

@@ -1,0 +1,65 @@
+"""Language ID: codes, held-out accuracy, odd texts."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rollcall.llm.language_id import BUCKETS, codewords, fit, held_out, identify, op10_language_id, predict, train
+
+FOLDER = "/root/testdata/sf0.1"
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 5, 6, 12, 40])
+def test_codewords_are_apart_and_every_bit_parts_languages(n):
+    code = codewords(n)
+    assert (codewords(n) == code).all() and set(np.unique(code)) == {-1, 1}
+    assert (np.abs(code.sum(0)) < n).all()
+    distance = (code.shape[1] - code @ code.T) / 2 + np.eye(n) * 99
+    assert distance.min() >= (1 if n < 4 else 3)
+
+
+def test_accuracy_on_held_out_documents(spark):
+    known = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang", "text")
+    found = op10_language_id(spark, FOLDER).join(known, "doc_id").filter("held_out").collect()
+    assert len(found) > 1500
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in found)
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.995 * len(found)
+    assert all(0 <= r.score <= 1 for r in found)
+    assert sum(r.ambiguous for r in found) <= 0.002 * len(found)
+
+
+@pytest.fixture(scope="module")
+def model():
+    samples = {"x": "foo bar baz", "y": "tik tak tok", "z": "mur mir mar"}
+    from rollcall.llm.language_id import _buckets
+
+    return fit({k: np.bincount(_buckets([t * 20])[0].ravel(), minlength=BUCKETS + 1)[:BUCKETS].astype(float) for k, t in samples.items()})
+
+
+def test_texts_do_not_depend_on_their_neighbours(model):
+    texts = ["foo bar", "", None, "123 !?", "TIK tak", "mir" * 50_000, "é", "foo tik", "mar", "mar"]
+    alone = [predict(model, [t]) for t in texts]
+    assert [[own[0] for own in one] for one in alone] == [list(one) for one in zip(*predict(model, texts))]
+    names = [one[0][0] for one in alone]
+    assert names[:6] == ["x", "und", "und", "und", "y", "z"] and names[8] == names[9] == "z"
+
+
+def test_a_text_between_two_languages_is_ambiguous(model):
+    _, _, unsure = predict(model, ["qqqq", "foo bar baz foo"])
+    assert unsure == [True, False]
+
+
+def test_tables(spark, documents, prose, no_documents, model):
+    found = identify(documents, model).collect()
+    assert len(found) == len(prose)
+    none = train(documents.withColumn("lang", F.lit(None).cast("string")))
+    assert none.languages == []
+    assert {r.lang_pred for r in identify(documents, none).collect()} == {"und"}
+    one = train(documents.withColumn("lang", F.lit("q")))
+    assert {r.lang_pred for r in identify(documents, one).filter("score > 0").collect()} == {"q"}
+    assert identify(no_documents, model).count() == 0
+    assert {r.h for r in spark.createDataFrame([(None,)], "doc_id bigint").select(held_out().alias("h")).collect()} == {False}

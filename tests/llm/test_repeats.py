@@ -1,0 +1,93 @@
+"""Repeated strings against all windows of all texts."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from rollcall.llm import suffix_dedup
+from rollcall.llm.suffixes import common_prefixes_below, repeated_windows
+
+
+def covered(texts, length):
+    """For each text, which bytes a repeated string covers."""
+    data = [(t or "").encode() for t in texts]
+    count = Counter(d[k : k + length] for d in data for k in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        own = np.zeros(len(d), bool)
+        for k in range(len(d) - length + 1):
+            if count[d[k : k + length]] > 1:
+                own[k : k + length] = True
+        out.append((d, own))
+    return out
+
+
+def digests(prose, length):
+    out = []
+    for (key, _), (data, own) in zip(prose, covered([t for _, t in prose], length)):
+        kept = bytes(b for b, gone in zip(data, own) if not gone)
+        spans = int((np.diff(np.concatenate([[0], own.astype(int)])) == 1).sum())
+        out.append((key, len(data), int(own.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_windows_of_random_strings():
+    draw = random.Random(2)
+    for _ in range(150):
+        length = draw.choice([1, 3, 8, 9, 17, 30])
+        shared = bytes(draw.choice(b"abc") for _ in range(60))
+        strings = []
+        for _ in range(draw.randrange(1, 6)):
+            at = draw.randrange(50)
+            strings.append(bytes(draw.choice(b"xy") for _ in range(draw.randrange(9))) + shared[at : at + draw.randrange(40)])
+        count = Counter(s[k : k + length] for s in strings for k in range(len(s) - length + 1))
+        expected = [[count[s[k : k + length]] > 1 for k in range(len(s) - length + 1)] for s in strings]
+        assert [list(map(bool, own)) for own in repeated_windows(strings, length)] == expected
+
+
+def test_prefixes_come_out_below_any_depth():
+    data = np.frombuffer(b"banana bandana banana\xff", np.uint8)
+    suffixes = sorted(range(len(data)), key=lambda k: data[k:].tobytes())
+    shared = [0] + [next(n for n in range(99) if data[a : a + n + 1].tobytes() != data[b : b + n + 1].tobytes()) for a, b in zip(suffixes, suffixes[1:])]
+    for depth in range(1, 9):
+        known = common_prefixes_below(data, np.array(suffixes), depth)
+        assert [bool(k) for k in known[:-1]] == [n < depth for n in shared]
+
+
+@pytest.mark.parametrize(("length", "hot"), [(400, 4096), (60, 4096), (60, 3), (5, 50)])
+def test_removed_bytes(documents, prose, rows, monkeypatch, length, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    assert rows(suffix_dedup.removal_digests(documents, length)) == digests(prose, length)
+
+
+def test_blocks_meet(spark, rows, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_BLOCK", 256)
+    draw = random.Random(5)
+    long = "".join(draw.choice("abcdef") for _ in range(5000))
+    prose = [(1, long), (2, long[700:2300] + "zz" + long[100:500]), (3, "q" + long[4000:])]
+    assert rows(suffix_dedup.removal_digests(spark.createDataFrame(prose, "doc_id bigint, text string"), 100)) == digests(prose, 100)
+
+
+def test_texts_without_repeats_keep_characters_and_columns(documents, prose):
+    cut = suffix_dedup.without_repeats(documents, 60)
+    assert cut.columns == [*documents.columns, "n_removed"]
+    expected = Counter()
+    for (key, text), (data, own) in zip(prose, covered([t for _, t in prose], 60)):
+        kept, at = [], 0
+        for char in text or "":
+            size = len(char.encode())
+            if not own[at : at + size].all():
+                kept.append(char)
+            at += size
+        expected[(key, None if text is None else "".join(kept), len(data) - len("".join(kept).encode()))] += 1
+    assert Counter((r.doc_id, r.text, r.n_removed) for r in cut.collect()) == expected
+
+
+def test_empty_table(no_documents):
+    assert suffix_dedup.removal_digests(no_documents, 400).count() == 0
+    assert suffix_dedup.without_repeats(no_documents, 400).count() == 0

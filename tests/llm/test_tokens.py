@@ -1,0 +1,93 @@
+"""Token counts and byte-level BPE against the libraries."""
+
+from __future__ import annotations
+
+import hashlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from rollcall.llm import byte_bpe, token_counts
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+ODD = ["", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", "<|endoftext|", "x" * 5000, " " * 300 + "a", "ab" * 3000, "\r\n\n \x85　a"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=60), max_size=5))
+def test_ids_are_the_library_ids_and_decode_back(library, texts):
+    coder = byte_bpe.byte_bpe(RANKS)
+    ids = coder.encode(texts)
+    assert [list(map(int, own)) for own in ids] == [library.encode_ordinary(t) for t in texts]
+    assert [coder.decode(own) for own in ids] == [t.encode() for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=80))
+def test_counts_are_the_library_counts(tokenizer, text):
+    assert token_counts._counter(VOCABULARY)[1](text) == len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_odd_texts(library, tokenizer):
+    coder, count = byte_bpe.byte_bpe(RANKS), token_counts._counter(VOCABULARY)[1]
+    assert [[int(i) for i in own] for own in coder.encode(ODD)] == [library.encode_ordinary(t) for t in ODD]
+    assert [count(t) for t in ODD] == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in ODD]
+
+
+def test_whole_tokens_are_proved(tokenizer):
+    merges = token_counts.BytePairMerges(VOCABULARY)
+    proved = token_counts.whole_tokens(merges)
+    assert 49_000 < len(proved) < len(merges.vocabulary)
+    for text in sorted(proved)[::500]:
+        assert len(tokenizer.model.tokenize("".join(byte_bpe.as_symbols(text.encode())))) == 1
+
+
+def test_counting_documents(documents, prose, tokenizer, rows):
+    expected = []
+    for key, text in prose:
+        n = len(tokenizer.encode(text or "", add_special_tokens=False).ids)
+        expected.append((key, len((text or "").encode()), n, n > 100))
+    assert rows(token_counts.count_tokens(documents, VOCABULARY, limit=100)) == sorted(expected, key=repr)
+
+
+def test_digests_of_documents(documents, prose, library, rows):
+    expected = []
+    for key, text in prose:
+        ids = library.encode_ordinary(text or "")
+        digest = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        expected.append((key, len(ids), digest, hashlib.sha256((text or "").encode()).hexdigest()))
+    assert rows(byte_bpe.encode_and_decode(documents, RANKS)) == sorted(expected, key=repr)
+
+
+def test_encoded_documents_decode(documents, prose, rows):
+    encoded = byte_bpe.encode_documents(documents, RANKS)
+    decoded = byte_bpe.decode_documents(encoded, RANKS)
+    assert rows(decoded.selectExpr("doc_id", "cast(decoded as string)")) == sorted(((k, t or "") for k, t in prose), key=repr)
+
+
+def test_empty_tables(no_documents):
+    assert token_counts.count_tokens(no_documents, VOCABULARY).count() == 0
+    assert byte_bpe.encode_and_decode(no_documents, RANKS).count() == 0
+    assert byte_bpe.decode_documents(byte_bpe.encode_documents(no_documents, RANKS), RANKS).count() == 0
+
+
+def test_ranks_with_a_gap_are_refused():
+    with pytest.raises(ValueError):
+        byte_bpe.model_bytes({bytes([b]): b + 1 for b in range(256)})
+    with pytest.raises(ValueError):
+        byte_bpe.model_bytes({b"a": 0})
