@@ -16,10 +16,11 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    """Optional queries without SQL are tested against brute force instead."""
+    assert contract.queries().keys() - contract._llm_queries().keys() <= contract.oracle_sql().keys() <= contract.queries().keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.oracle_sql())
 def test_query_matches_sql(spark, connection, name):
     frame = contract.queries()[name](spark, FOLDER)
     assert compare(frame, connection, contract.oracle_sql()[name]) > 0
