@@ -9,10 +9,15 @@ that have to be repaired as text first.
 Files are planned as byte ranges, small files packed together.  A record
 belongs to the range that holds the first byte of its start tag; its reader
 runs past the end of the range to finish the record.  A record ends at its own
-end tag, or, when that is missing, at the next record start or the end of the
+end tag or at the next record start, whichever comes first, or at the end of the
 file.  Every record is therefore decided by its own bytes alone, and any split
 of the input gives the same rows.  An unfinished record is a row like any
-other; it fails to parse later and lands in quarantine.
+other; it fails to parse later and lands in quarantine.  Comments and CDATA
+sections are bytes like others: a record start inside one starts a record, since
+a range that begins there could not know better.
+
+A range is searched once, from front to back, for tags of either sort, whatever
+the records look like.  A task holds one record's own bytes and a block.
 """
 
 from __future__ import annotations
@@ -42,18 +47,30 @@ FILTER_PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 SCHEMA = "path string, end_offset bigint, kind string, raw string"
 
 _MIB = 1 << 20
-_COMPRESSED = (".gz", ".bz2", ".zst", ".lz4")
+# Codecs by file ending, and how the files of these and others begin.
+_CODECS = {".gz": "gzip", ".bz2": "bz2", ".zst": "zstd", ".lz4": "lz4"}
+_MAGIC = {
+    "gzip": b"\x1f\x8b",
+    "bz2": b"BZh",
+    "zstd": b"\x28\xb5\x2f\xfd",
+    "lz4": b"\x04\x22\x4d\x18",
+    "xz": b"\xfd7zXZ\x00",
+    "compress": b"\x1f\x9d",
+    "zip": b"PK\x03\x04",
+    "snappy": b"\xff\x06\x00\x00sNaPpY",
+}
 
 
 class RecordPattern:
-    """Start tags of all kinds and the end tag of each."""
+    """Start tags of all kinds, and for each kind what can end its records."""
 
     def __init__(self, kinds: list[str], require_attributes: bool = True):
         names = "|".join(re.escape(kind) for kind in sorted(kinds))
         follow = " " if require_attributes else r"[\s>]"
+        start = f"<(?:{names}){follow}"
         self.start = re.compile(f"<({names}){follow}".encode())
-        self.end = {kind.encode(): f"</{kind}>".encode() for kind in kinds}
-        self.longest = max(len(tag) for tag in self.end.values())
+        self.stop = {kind.encode(): re.compile(f"(</{re.escape(kind)}>)|{start}".encode()) for kind in kinds}
+        self.longest = max(len(f"</{kind}>".encode()) for kind in kinds)
 
 
 def scan_range(
@@ -62,7 +79,6 @@ def scan_range(
     end: int | None,
     pattern: RecordPattern,
     block: int = 4 * _MIB,
-    max_record: int = 256 * _MIB,
 ) -> Iterator[tuple[bytes, bytes, int]]:
     """Yield ``(kind, raw, end_offset)`` for records that start in ``[start, end)``.
 
@@ -85,35 +101,34 @@ def scan_range(
         first, kind, searched = found.start(), found.group(1), found.end()
         if end is not None and base + first >= end:
             return
-        closing = pattern.end[kind]
-        inner = searched
         want = block
         while True:
-            close = data.find(closing, searched)
-            following = pattern.start.search(data, inner, close if close >= 0 else len(data))
-            if following is not None:
-                stop = pos = following.start()
-                break
-            if close >= 0:
-                stop = pos = close + len(closing)
+            stopping = pattern.stop[kind].search(data, searched)
+            if stopping is not None:
+                stop = pos = stopping.end() if stopping.group(1) else stopping.start()
                 break
-            if len(data) - first > max_record:
-                raise ValueError(
-                    f"record of kind {kind.decode()} at byte {base + first} is longer than "
-                    f"{max_record} bytes; raise maxRecordBytes to read it"
-                )
             more = read(want)
             if not more:
                 stop = pos = len(data)
                 break
             # only the new bytes, and a tag cut at the seam, are searched again
-            seam = max(inner, len(data) - overlap) - first
+            searched = max(searched, len(data) - overlap) - first
             data, base, first = data[first:] + more, base + first, 0
-            searched = inner = seam
             want *= 2  # keeps the copying linear in the record length
         yield kind, data[first:stop], base + stop
 
 
+def codec_of(path: str) -> str | None:
+    """The codec that the file's ending names, in capitals or not."""
+    return _CODECS.get("." + path.rpartition(".")[2].lower())
+
+
+def _refuse_compressed(path: str, head: bytes) -> None:
+    for codec, magic in _MAGIC.items():
+        if head.startswith(magic):
+            raise ValueError(f"{path} is {codec} data, which its name does not say; endings read are {', '.join(_CODECS)}")
+
+
 class XmlRecordReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         path = options.get("path")
@@ -130,9 +145,8 @@ class XmlRecordReader(DataSourceReader):
         self.min_partitions = int(options.get("minpartitions", 1))
         self.block_bytes = int(options.get("blockbytes", 4 * _MIB))
         self.batch_bytes = int(options.get("batchbytes", 2 * _MIB))
-        self.max_record = int(options.get("maxrecordbytes", 256 * _MIB))
         self.encoding = options.get("encoding", "utf-8")
-        if min(self.split_bytes, self.block_bytes, self.batch_bytes, self.max_record) < 1:
+        if min(self.split_bytes, self.block_bytes, self.batch_bytes) < 1:
             raise ValueError("byte sizes must be positive")
 
     def partitions(self) -> list[InputPartition]:
@@ -147,7 +161,7 @@ class XmlRecordReader(DataSourceReader):
         split = min(self.split_bytes, max(self.open_cost, total // self.min_partitions, 1))
         planned, packed, room = [], [], 0
         for path, size in files:
-            if path.endswith(_COMPRESSED):
+            if codec_of(path):
                 planned.append([(path, 0, None)])
                 continue
             start = 0
@@ -172,16 +186,16 @@ class XmlRecordReader(DataSourceReader):
     def _batches(self, path: str, start: int, end: int | None, pattern: RecordPattern):
         files, inside = open_path(path)
         if end is None:
-            stream = files.open_input_stream(inside, compression="detect")
+            stream = files.open_input_stream(inside, compression=codec_of(path))
         else:
             stream = files.open_input_file(inside)
+            if start == 0:
+                _refuse_compressed(path, stream.read(max(map(len, _MAGIC.values()))))
             stream.seek(start)
         wanted = {kind.encode() for kind in self.wanted}
         kinds, raws, offsets, held = [], [], [], 0
         with stream:
-            for kind, raw, offset in scan_range(
-                stream.read, start, end, pattern, self.block_bytes, self.max_record
-            ):
+            for kind, raw, offset in scan_range(stream.read, start, end, pattern, self.block_bytes):
                 if kind not in wanted:
                     continue
                 kinds.append(kind)
@@ -228,8 +242,7 @@ class XmlRecordSource(DataSource):
     """Options: ``path`` (file, directory or glob), ``kinds`` (comma separated),
     ``requireAttributes`` (a start tag must be followed by a blank; default true),
     ``recursive``, ``splitBytes``, ``openCostBytes``, ``minPartitions``,
-    ``blockBytes``, ``batchBytes``, ``maxRecordBytes``, ``encoding`` and
-    ``pushFilters`` (Spark takes it only from sessions with
+    ``blockBytes``, ``batchBytes``, ``encoding`` and ``pushFilters`` (Spark takes it only from sessions with
     ``spark.sql.python.filterPushdown.enabled``)."""
 
     @classmethod
@@ -266,8 +279,7 @@ def list_files(path: str, recursive: bool = False) -> list[tuple[str, int]]:
     globbed = re.search(r"[*?\[]", inside)
     if globbed:
         base = inside[: globbed.start()].rpartition("/")[0]
-        found = files.get_file_info(fs.FileSelector(base or "/", recursive=True))
-        found = [info for info in found if _glob_match(info.path, inside)]
+        found = _globbed(files, base, inside[len(base) :].strip("/").split("/"))
     else:
         info = files.get_file_info(inside.rstrip("/") or "/")
         if info.type == fs.FileType.NotFound:
@@ -288,9 +300,18 @@ def _hidden(relative: str) -> bool:
     return any(part.startswith((".", "_")) for part in relative.split("/") if part)
 
 
-def _glob_match(path: str, pattern: str) -> bool:
-    parts, wanted = path.strip("/").split("/"), pattern.strip("/").split("/")
-    return len(parts) == len(wanted) and all(map(fnmatch.fnmatchcase, parts, wanted))
+def _globbed(files, base: str, parts: list[str]) -> list:
+    """What matches the pattern ``parts`` under ``base``: one level is listed for each of them."""
+    from pyarrow import fs
+
+    found = [base or "/"]
+    for depth, part in enumerate(parts):
+        listed = [info for folder in found for info in files.get_file_info(fs.FileSelector(folder))]
+        matching = [info for info in listed if fnmatch.fnmatchcase(info.base_name, part)]
+        if depth == len(parts) - 1:
+            return matching
+        found = [info.path for info in matching if info.type == fs.FileType.Directory]
+    return []
 
 
 def read_xml_records(spark: SparkSession, path: str, **options) -> DataFrame:
