@@ -367,11 +367,14 @@ _ORDER_MEMBERS = (
 )
 
 # Documents: the XML text, and the fields a correct scan and parse must find.
-_KINDS = " ".join(f"WHEN '{s}' THEN '{k}'" for s, k in documents.KIND_OF_SOURCE.items())
+_KIND = """CASE WHEN regexp_full_match(source, 'src[0-9]{1,9}') THEN
+      ['article', 'inproceedings', 'proceedings', 'book', 'incollection', 'phdthesis', 'mastersthesis', 'www'][
+        CAST(substr(source, 4) AS INTEGER) % 8 + 1]
+    ELSE 'article' END"""
 _XML = f"""
 parts AS (
-  SELECT doc_id, source, CASE source {_KINDS} END AS kind,
-    string_split(replace(text, '<', '&lt;'), ' ') AS words,
+  SELECT doc_id, source, {_KIND} AS kind,
+    string_split(replace(coalesce(text, ''), '<', '&lt;'), ' ') AS words,
     CAST(1890 + n_chars // 50 AS INTEGER) AS y,
     CASE WHEN source = 'src13' THEN 'editor' ELSE 'author' END AS tag
   FROM documents
@@ -398,11 +401,11 @@ parts AS (
 )"""
 _FIELDS = f"""
 fields AS (
-  SELECT doc_id, source, CASE source {_KINDS} END AS kind,
+  SELECT doc_id, source, {_KIND} AS kind,
     CASE WHEN source IN ('src7', 'src11') THEN NULL
       ELSE CAST(1890 + n_chars // 50 AS INTEGER) END AS year,
     CASE WHEN source = 'src13' THEN []::VARCHAR[]
-      ELSE [replace(w, chr(10), '') FOR w IN string_split(replace(text, '<', '&lt;'), ' ')
+      ELSE [replace(w, chr(10), '') FOR w IN string_split(replace(coalesce(text, ''), '<', '&lt;'), ' ')
         IF replace(w, chr(10), '') <> ''] END AS members
   FROM documents WHERE source <> 'src17'
 )"""

@@ -29,27 +29,15 @@ def record_sizes(rows: DataFrame, record: str, member: str) -> DataFrame:
     return rows.where(F.col(member).isNotNull()).groupBy(record).agg(F.count(F.lit(1)).alias("n"))
 
 
-def attach_records(
-    rows: DataFrame,
-    records: DataFrame,
-    record: str,
-    *,
-    size: str = "n",
-    largest: int = 1000,
-    at_least: int = 10_000,
-) -> DataFrame:
+def attach_records(rows: DataFrame, records: DataFrame, record: str) -> DataFrame:
     """Inner join of a long table with its records (one row each), safe for huge records.
 
-    Records of ``at_least`` members, the ``largest`` of them if there are more,
-    are broadcast: their rows are matched where they lie and never meet in one
-    task.  That table has ``largest`` rows at most.  A record outside it holds
-    less than ``at_least`` rows or less than ``1/largest`` of all rows, so the
-    shuffle join of the rest is even.  Where no record is that large, the
-    adaptive plan drops the broadcast branch before it runs.
+    The key is wrapped, so neither side's earlier partitioning serves the join and
+    both get an exchange of their own.  Adaptive execution can then split the rows
+    of any record that is too large for a task, and hands each part the one row of
+    that record.  The plan is the same for records of all sizes, and Spark decides
+    about broadcasting the records by their measured size.
     """
-    keyed = records.where(F.col(record).isNotNull())
-    huge = keyed.where(F.col(size) >= at_least).orderBy(F.desc(size), record).limit(largest)
-    marked = rows.join(F.broadcast(huge), record, "left")
-    in_place = marked.where(F.col(size).isNotNull())
-    rest = marked.where(F.col(size).isNull()).select(*rows.columns)
-    return in_place.unionByName(rest.join(keyed, record))
+    own = records.select(F.struct(F.col(record)).alias("_record"), *[c for c in records.columns if c != record])
+    joined = rows.where(F.col(record).isNotNull()).withColumn("_record", F.struct(F.col(record))).join(own, "_record")
+    return joined.drop("_record")

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from rollcall.plans.staging import staging_root
 from rollcall.sources.xml_records import DEFAULT_KINDS
 
-KIND_OF_SOURCE = {f"src{i}": DEFAULT_KINDS[i % len(DEFAULT_KINDS)] for i in range(20)}
 ONLY_EDITORS = "src13"
 NO_ATTRIBUTES = "src19"
 UNCLOSED_TITLE = "src17"
@@ -41,14 +40,17 @@ _LISTS = (
 
 
 def document_records(spark: SparkSession, folder: str) -> DataFrame:
-    """``(doc_id, kind, raw)``: the XML text of every document, whole."""
-    kind = F.try_element_at(_literal_map(KIND_OF_SOURCE), "source")
-    documents = spark.read.parquet(f"{folder}/documents.parquet").withColumn("kind", kind)
+    """``(doc_id, kind, raw)``: the XML text of every document, whole.
+
+    The number in a source's name chooses the kind; any other source, or none, means
+    the first kind.  A null text has no words, a null length no year.
+    """
+    documents = spark.read.parquet(f"{folder}/documents.parquet").withColumn("kind", _kind(F.col("source")))
     opened, between, closed = (
         F.coalesce(F.try_element_at(_literal_map(texts), "source"), F.lit(plain))
         for texts, plain in zip(_LISTS, ("<author>", "</author><author>", "</author>"))
     )
-    words = F.replace(F.replace("text", F.lit("<"), F.lit("&lt;")), F.lit(" "), between)
+    words = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("<"), F.lit("&lt;")), F.lit(" "), between)
     source = F.col("source")
     raw = F.concat(
         F.lit("<"),
@@ -68,12 +70,19 @@ def document_records(spark: SparkSession, folder: str) -> DataFrame:
     return documents.select("doc_id", "kind", raw.alias("raw"))
 
 
+def _kind(source: Column) -> Column:
+    number = F.regexp_extract(source, r"^src(\d{1,9})$", 1)
+    place = F.when(number != "", number.cast("int") % len(DEFAULT_KINDS)).otherwise(0)
+    return F.get(F.array(*map(F.lit, DEFAULT_KINDS)), place)
+
+
 def _literal_map(texts: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(part) for pair in texts.items() for part in pair])
 
 
 def _years(source: Column) -> Column:
     year = F.format_string("<year>%d</year>", F.expr("1890 + n_chars div 50"))
+    year = F.when(F.col("n_chars").isNotNull(), year).otherwise(F.lit(""))
     return (
         F.when(source == TEXT_YEAR, F.lit("<year>n.d.</year>"))
         .when(source == NO_YEAR, F.lit(""))
