@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.markup import extract_groups, repair, root_kind, split_bad
@@ -23,18 +22,19 @@ from rollcall.operators import (
     top_bottom,
 )
 from rollcall.plans import documents, orders
-from rollcall.plans.staging import staging_root, written
+from rollcall.plans.staging import passing_folder, written
 from rollcall.plans.suite import (
     DEFAULT_BINS,
     DEFAULT_CATEGORIES,
     DEFAULT_YEAR_RANGES,
+    FOLDERS,
     JOB_NAMES,
     SORTED,
     run_jobs,
     scan_groups,
 )
 from rollcall.sinks import write_key_values, write_report, write_table
-from rollcall.sources import read_results, read_xml_records
+from rollcall.sources import read_in_order, read_results, read_xml_records
 
 try:  # an optional subpackage and its pipeline
     import corpus_pipeline
@@ -151,6 +151,18 @@ def xml_scan_any_start(spark, folder):
     return _scan(spark, folder, require_attributes=False).select("kind", "raw")
 
 
+def xml_scan_offsets(spark, folder):
+    """What each record's end adds to the bytes of its file up to there, ranges being short."""
+    records = _scan(spark, folder, require_attributes=False, split_bytes=1 << 16)
+    so_far = Window.partitionBy("path").orderBy("end_offset").rowsBetween(Window.unboundedPreceding, 0)
+    lines = F.sum(F.octet_length("raw") + 1).over(so_far)
+    return records.select("kind", "raw", (F.col("end_offset") - lines).alias("beyond"))
+
+
+def xml_scan_untidy(spark, folder):
+    return read_xml_records(spark, documents.written_untidy(spark, folder)).select("kind", "raw")
+
+
 def _extracted(spark, folder, on_bad="quarantine"):
     return extract_groups(_scan(spark, folder, require_attributes=False), on_bad=on_bad)
 
@@ -243,7 +255,7 @@ def page_link_stats(spark, folder):
 
 
 def _target(spark, name):
-    return f"{staging_root(spark)}/rollcall-{name}-{uuid.uuid4().hex}"
+    return f"{passing_folder(spark, name)}/result"
 
 
 def key_value_round_trip(spark, folder):
@@ -267,6 +279,34 @@ def report_round_trip(spark, folder):
     return read_results(spark, target, "bin string, range string, records bigint")
 
 
+def results_blank_lines(spark, folder):
+    """Lines with a blank one behind each, read back."""
+    target = _target(spark, "lines")
+    table = spark.read.parquet(f"{folder}/orders.parquet")
+    table.select(F.format_string("%d,%s\n", "o_orderkey", "o_orderstatus").alias("line")).write.text(target)
+    return read_results(spark, target, "o_orderkey bigint, o_orderstatus string", header=False)
+
+
+def counts_in_order(spark, folder):
+    target = _target(spark, "counts")
+    run_jobs(spark, documents.written_documents(spark, folder), target, "AuthorCount")
+    return read_in_order(spark, f"{target}/{FOLDERS['AuthorCount']}/counts", "n bigint, records bigint")
+
+
+def _written_in_order(spark, scores):
+    target = _target(spark, "sorted")
+    write_key_values(scores, target)
+    return read_in_order(spark, target, "member bigint, score double")
+
+
+def scores_in_order(spark, folder):
+    return _written_in_order(spark, sorted_scores(spark, folder))
+
+
+def scores_in_order_descending(spark, folder):
+    return _written_in_order(spark, sorted_scores_descending(spark, folder))
+
+
 def job_suite(spark, folder):
     """All jobs over the XML files; their reports as ``(job, line)``."""
     target = _target(spark, "jobs")
@@ -339,6 +379,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_value_round_trip": key_value_round_trip,
         "table_round_trip": table_round_trip,
         "report_round_trip": report_round_trip,
+        "xml_scan_offsets": xml_scan_offsets,
+        "xml_scan_untidy": xml_scan_untidy,
+        "results_blank_lines": results_blank_lines,
+        "counts_in_order": counts_in_order,
+        "scores_in_order": scores_in_order,
+        "scores_in_order_descending": scores_in_order_descending,
         "job_suite": job_suite,
         **_llm_queries(),
     }
@@ -565,6 +611,22 @@ SELECT 'a' AS kind, unnest(regexp_extract_all(html, '(?s)<a .*?</a>')) AS raw FR
         "key_value_round_trip": doc_scores,
         "table_round_trip": doc_stats,
         "report_round_trip": order_range,
+        "xml_scan_offsets": f"WITH {_XML} SELECT kind, raw, CAST(-1 AS BIGINT) AS beyond FROM xml",
+        "xml_scan_untidy": """
+WITH named AS (SELECT doc_id, chr(39) || doc_id || chr(39) || '>' AS k, chr(39) || 'inner' || chr(39) || '>' AS i FROM documents)
+SELECT unnest(CASE doc_id % 3 WHEN 0 THEN ['book', 'article'] WHEN 1 THEN ['phdthesis', 'book'] ELSE ['www'] END) AS kind,
+  unnest(CASE doc_id % 3
+    WHEN 0 THEN ['<book k=' || k || 'A<!-- ', '<article k=' || i || ' -->B</book>' || chr(10)]
+    WHEN 1 THEN ['<phdthesis k=' || k || '<![CDATA[', '<book k=' || i || ']]></phdthesis>' || chr(10)]
+    ELSE ['<www k=' || k || 'not closed' || chr(10)] END) AS raw
+FROM named""",
+        "results_blank_lines": "SELECT o_orderkey, o_orderstatus FROM orders",
+        "counts_in_order": f"""WITH {_DOC_RECORDS}, counted AS ({_HISTOGRAM.format(t='records')})
+SELECT CAST(row_number() OVER (ORDER BY n) AS BIGINT) AS position, n, records FROM counted""",
+        "scores_in_order": f"""WITH {_ORDER_MEMBERS}, scores AS ({_SCORES})
+SELECT CAST(row_number() OVER (ORDER BY score, member) AS BIGINT) AS position, member, score FROM scores""",
+        "scores_in_order_descending": f"""WITH {_ORDER_MEMBERS}, scores AS ({_SCORES})
+SELECT CAST(row_number() OVER (ORDER BY score DESC, member DESC) AS BIGINT) AS position, member, score FROM scores""",
         "job_suite": suite,
         **_llm_sql(),
     }

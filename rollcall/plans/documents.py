@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.plans.staging import staging_root
+from rollcall.plans.staging import passing_folder, table_state
 from rollcall.sources.xml_records import DEFAULT_KINDS
 
 ONLY_EDITORS = "src13"
@@ -91,7 +91,7 @@ def _years(source: Column) -> Column:
     )
 
 
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple, str] = {}
 
 
 def written_documents(spark: SparkSession, folder: str) -> str:
@@ -108,12 +108,27 @@ def page_texts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/pages.parquet").select(F.col("html").alias("raw"))
 
 
+def written_untidy(spark: SparkSession, folder: str) -> str:
+    """Folder of files with record starts in comments, in CDATA and behind unclosed records."""
+    return _written_once(spark, folder, "documents", untidy_records, "untidy")
+
+
+def untidy_records(spark: SparkSession, folder: str) -> DataFrame:
+    shapes = (
+        "<book k='%1$d'>A<!-- <article k='inner'> -->B</book>",
+        "<phdthesis k='%1$d'><![CDATA[<book k='inner'>]]></phdthesis>",
+        "<www k='%1$d'>not closed",
+    )
+    shape = F.get(F.array(*[F.format_string(text, "doc_id") for text in shapes]), F.pmod("doc_id", F.lit(3)).cast("int"))
+    return spark.read.parquet(f"{folder}/documents.parquet").select(shape.alias("raw"))
+
+
 def _written_once(
-    spark: SparkSession, folder: str, name: str, texts: Callable[[SparkSession, str], DataFrame]
+    spark: SparkSession, folder: str, name: str, texts: Callable[[SparkSession, str], DataFrame], form: str = "text"
 ) -> str:
-    key = (spark.sparkContext.applicationId, name, folder)
+    key = (spark.sparkContext.applicationId, name, form, folder, table_state(spark, f"{folder}/{name}.parquet"))
     if key not in _written:
-        target = f"{staging_root(spark)}/rollcall-{name}-{key[0]}-{len(_written)}"
-        texts(spark, folder).select("raw").write.mode("overwrite").text(target)
+        target = passing_folder(spark, name)
+        texts(spark, folder).select("raw").write.mode("append").text(target)
         _written[key] = target
     return _written[key]

@@ -21,13 +21,20 @@ def staging_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all nodes share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="rollcall-"))
         root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
+def _path(spark: SparkSession, folder: str):
+    """The folder's file system, and the folder for it."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
 @contextmanager
 def staging_folder(spark: SparkSession) -> Iterator[str]:
     """A folder of its own for one run, removed afterwards."""
@@ -35,16 +42,31 @@ def staging_folder(spark: SparkSession) -> Iterator[str]:
     try:
         yield folder
     finally:
-        context = spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = _path(spark, folder)
+        files.delete(path, True)
+
+
+def passing_folder(spark: SparkSession, name: str = "table") -> str:
+    """A new folder for what is read until the application ends; then it is removed."""
+    folder = f"{staging_root(spark)}/rollcall-{name}-{uuid.uuid4().hex}"
+    files, path = _path(spark, folder)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
+def table_state(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """Bytes and last change of a table's files: another state, another table."""
+    files, path = _path(spark, folder)
+    return files.getContentSummary(path).getLength(), files.getFileStatus(path).getModificationTime()
 
 
 def written(frame: DataFrame) -> DataFrame:
     """The frame as a table in the shared folder: later readers start from there.
 
-    The folder outlives the call, since the table is read when the result is.
+    The folder outlives the call, since the table is read when the result is; it goes
+    when the application ends.
     """
-    folder = f"{staging_root(frame.sparkSession)}/rollcall-{uuid.uuid4().hex}"
-    frame.write.parquet(folder)
-    return frame.sparkSession.read.parquet(folder)
+    folder = passing_folder(frame.sparkSession)
+    frame.write.mode("append").parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
