@@ -4,7 +4,7 @@ from rollcall.operators.histograms import (
     bin_sizes,
     size_histogram,
 )
-from rollcall.operators.members import attach_records, explode_members, record_sizes
+from rollcall.operators.members import attach_records, explode_members, membership_counts, record_sizes
 from rollcall.operators.scores import contribution_scores, sort_scores, top_bottom
 from rollcall.operators.stats import member_stats
 
@@ -15,6 +15,7 @@ __all__ = [
     "bin_sizes",
     "contribution_scores",
     "explode_members",
+    "membership_counts",
     "member_stats",
     "record_sizes",
     "size_histogram",

@@ -24,6 +24,14 @@ def explode_members(
     )
 
 
+def membership_counts(memberships: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(member, *by, n, times)``: how often a member has a record of that size.
+
+    What scores and statistics need to know of the memberships, after one shuffle.
+    """
+    return memberships.groupBy("member", *by, "n").agg(F.count(F.lit(1)).alias("times"))
+
+
 def record_sizes(rows: DataFrame, record: str, member: str) -> DataFrame:
     """Size of every record of a long table; records without a member do not appear."""
     return rows.where(F.col(member).isNotNull()).groupBy(record).agg(F.count(F.lit(1)).alias("n"))

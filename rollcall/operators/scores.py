@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from rollcall.functions.measures import mean_hundredths, share_hundredths
 
 
-def contribution_scores(memberships: DataFrame) -> DataFrame:
+def contribution_scores(memberships: DataFrame, *, times: str | None = None) -> DataFrame:
     """Mean of ``1/n`` over a member's records, shares and mean rounded to 2 places.
 
-    A low score means large records, that is, many fellow members.
+    A low score means large records, that is, many fellow members.  ``times`` names
+    the column that says how many memberships a row stands for.
     """
+    stands_for = F.col(times) if times else F.lit(1)
     totals = memberships.groupBy("member").agg(
-        F.sum(share_hundredths("n")).alias("total"), F.count(F.lit(1)).alias("rows")
+        F.sum(share_hundredths("n") * stands_for).alias("total"),
+        (F.sum(times) if times else F.count(F.lit(1))).alias("rows"),
     )
     hundredths = mean_hundredths(F.col("total"), F.col("rows"))
     return totals.select("member", (hundredths / F.lit(100)).alias("score"))

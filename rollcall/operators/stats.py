@@ -4,27 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.measures import co_members
 
 
 def member_stats(
-    memberships: DataFrame, by: Sequence[str] = (), *, exact_mean: bool = False
+    memberships: DataFrame, by: Sequence[str] = (), *, exact_mean: bool = False, times: str | None = None
 ) -> DataFrame:
     """Mean, median, minimum and maximum of ``n - 1`` per member (and ``by``).
 
     ``mean`` is the whole part of the mean, ``median`` the upper median; rows
     with a null in ``by`` do not count.  ``exact_mean`` adds ``mean_exact``.
+    ``times`` names the column that says how many memberships a row stands for.
     """
     kept = memberships
     for name in by:
         kept = kept.where(F.col(name).isNotNull())
-    fellows = kept.select("member", *by, co_members("n").alias("fellows"))
-    total, rows = F.sum("fellows"), F.count(F.lit(1))
-    # the middle from above; Spark keeps a count per value, so the state is small
-    median = F.expr("percentile_disc(0.5) within group (order by fellows desc)")
+    counted = [F.col(times).alias("times")] if times else []
+    fellows = kept.select("member", *by, co_members("n").alias("fellows"), *counted)
+    if times:
+        total, rows = F.sum(F.col("fellows") * F.col("times")), F.sum("times")
+        median = _upper_median(F.array_sort(F.collect_list(F.struct("fellows", "times"))), rows)
+    else:
+        total, rows = F.sum("fellows"), F.count(F.lit(1))
+        # the middle from above; Spark keeps a count per value, so the state is small
+        median = F.expr("percentile_disc(0.5) within group (order by fellows desc)")
     columns = [
         F.call_function("div", total, rows).alias("mean"),
         median.cast("bigint").alias("median"),
@@ -34,3 +40,15 @@ def member_stats(
     if exact_mean:
         columns.append((total / rows).alias("mean_exact"))
     return fellows.groupBy("member", *by).agg(*columns)
+
+
+def _upper_median(values: Column, rows: Column) -> Column:
+    """The first of the sorted ``(fellows, times)`` by which more than half of ``rows`` have come."""
+    half = F.call_function("div", rows, F.lit(2).cast("bigint"))
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("value"))
+
+    def step(state, entry):
+        value = F.when(state["seen"] > half, state["value"]).otherwise(entry["fellows"])
+        return F.struct((state["seen"] + entry["times"]).alias("seen"), value.alias("value"))
+
+    return F.aggregate(values, start, step)["value"]

@@ -8,12 +8,11 @@ from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rollcall.functions.markup import extract_groups, split_bad
 from rollcall.functions.specs import parse_bins, parse_categories, parse_ranges
 from rollcall.operators.histograms import bin_by_category, bin_by_range, bin_sizes, size_histogram
-from rollcall.operators.members import explode_members
+from rollcall.operators.members import explode_members, membership_counts
 from rollcall.operators.scores import contribution_scores, sort_scores, top_bottom
 from rollcall.operators.stats import member_stats
 from rollcall.plans.staging import staging_folder
@@ -129,6 +128,11 @@ def run_jobs(
         if settings.on_bad == "quarantine":
             groups, bad = split_bad(groups)
             bad.write.mode(mode).parquet(output.replace("(jobName)", QUARANTINE))
+        members = None
+        if _MEMBER_JOBS.intersection(wanted):
+            counted = membership_counts(explode_members(groups, ["category"]), ["category"])
+            counted.write.parquet(f"{folder}/members")
+            members = spark.read.parquet(f"{folder}/members")
 
         def place(job_folder: str) -> str:
             return output.replace("(jobName)", job_folder)
@@ -136,7 +140,8 @@ def run_jobs(
         def run(name: str) -> str:
             job = FOLDERS[name]
             report = f"{place(job)}/{job}.csv"
-            jobs[name](groups, place, report, f"{folder}/{job}", mode)
+            table = members if name in _MEMBER_JOBS else groups
+            jobs[name](table, place, report, f"{folder}/{job}", mode)
             return report
 
         # jobs overlap, so one job's last tasks leave no cores idle
@@ -154,48 +159,40 @@ def _checked(names: str | Iterable[str]) -> list[str]:
 
 
 def _jobs(settings: Settings) -> dict[str, Callable]:
-    """Each job takes the groups, a function from folder name to path, its report
-    folder, a staging folder of its own and the write mode."""
+    """Each job takes its table, a function from folder name to path, its report
+    folder, a staging folder of its own and the write mode.  The table holds the groups,
+    or for jobs about members how often each has a record of each size and category."""
     bins = parse_bins(settings.bins)
     ranges = parse_ranges(settings.year_ranges)
     categories = list(parse_categories(settings.categories).values())
 
-    def counts(histogram, place, job, mode):
-        target = f"{place(FOLDERS[job])}/counts"
-        write_key_values(histogram.orderBy(*histogram.columns[:-1]), target, mode=mode)
-
-    def by_size(groups, place, report, folder, mode):
-        histogram = size_histogram(groups)
-        counts(histogram, place, "AuthorCount", mode)
-        write_report(bin_sizes(histogram, bins), report, HEADERS["AuthorCount"], mode=mode)
-
-    def by_category(groups, place, report, folder, mode):
-        histogram = size_histogram(groups, ["category"])
-        counts(histogram, place, "PublicationVenueStratification", mode)
-        table = bin_by_category(histogram, bins, categories)
-        write_report(table, report, HEADERS["PublicationVenueStratification"], mode=mode)
-
-    def by_year(groups, place, report, folder, mode):
-        histogram = size_histogram(groups, ["year"])
-        counts(histogram, place, "PublicationYearStratification", mode)
-        table = bin_by_range(histogram, bins, ranges)
-        write_report(table, report, HEADERS["PublicationYearStratification"], mode=mode)
-
-    def by_score(groups, place, report, folder, mode):
-        contribution_scores(explode_members(groups)).write.parquet(folder)
-        scores = groups.sparkSession.read.parquet(folder)
+    def histogram(job, by, binned):
+        def run(groups, place, report, folder, mode):
+            size_histogram(groups, by).write.parquet(folder)
+            table = groups.sparkSession.read.parquet(folder)
+            write_key_values(table.orderBy(*table.columns[:-1]), f"{place(FOLDERS[job])}/counts", mode=mode)
+            write_report(binned(table), report, HEADERS[job], mode=mode)
+
+        return run
+
+    by_size = histogram("AuthorCount", [], lambda table: bin_sizes(table, bins))
+    by_category = histogram("PublicationVenueStratification", ["category"], lambda table: bin_by_category(table, bins, categories))
+    by_year = histogram("PublicationYearStratification", ["year"], lambda table: bin_by_range(table, bins, ranges))
+
+    def by_score(members, place, report, folder, mode):
+        contribution_scores(members, times="times").write.parquet(folder)
+        scores = members.sparkSession.read.parquet(folder)
         write_key_values(scores, f"{place(FOLDERS['Authorship'])}/scores", mode=mode)
         write_key_values(sort_scores(scores), place(SORTED), mode=mode)
         table = top_bottom(scores, settings.top).drop("rank")
         write_report(table, report, HEADERS["Authorship"], mode=mode)
 
-    def by_member(groups, place, report, folder, mode):
-        table = member_stats(explode_members(groups))
+    def by_member(members, place, report, folder, mode):
+        table = member_stats(members, times="times")
         write_table(table, report, HEADERS["MeanMedianStatistics"], mode=mode)
 
-    def by_member_and_category(groups, place, report, folder, mode):
-        known = groups.where(F.col("category").isNotNull())
-        table = member_stats(explode_members(known, ["category"]), ["category"])
+    def by_member_and_category(members, place, report, folder, mode):
+        table = member_stats(members, ["category"], times="times")
         write_table(table, report, HEADERS["MeanMedianStatisticsWithStratification"], mode=mode)
 
     jobs = (by_size, by_category, by_year, by_score, by_member, by_member_and_category)

@@ -16,6 +16,7 @@ from rollcall.operators import (
     contribution_scores,
     explode_members,
     member_stats,
+    membership_counts,
     record_sizes,
     size_histogram,
     sort_scores,
@@ -170,6 +171,10 @@ def test_stats(data, rows):
     assert rows(member_stats(memberships, ["category"])) == sorted(
         ((*key, *expected_stats(v)) for key, v in by_category.items()), key=repr
     )
+    counted = membership_counts(memberships, ["category"])
+    assert rows(member_stats(counted, times="times")) == rows(member_stats(memberships))
+    assert rows(member_stats(counted, ["category"], times="times")) == rows(member_stats(memberships, ["category"]))
+    assert rows(contribution_scores(counted, times="times")) == rows(contribution_scores(memberships))
     exact = {r["member"]: r["mean_exact"] for r in member_stats(memberships, exact_mean=True).collect()}
     assert exact == {m: pytest.approx(sum(v) / len(v)) for m, v in fellows.items()}
 
