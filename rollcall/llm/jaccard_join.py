@@ -5,8 +5,8 @@ threshold.  A set of ``n`` shingles may miss ``m = floor((1 - threshold) n)`` of
 them in a partner, so of any ``m + k`` of its shingles ``k`` are shared.
 
 1. *Screen.*  Of each text the shingles with the lowest numbers, ``m`` and a
-   twentieth of the set more, are counted over all texts.  Where fewer than that
-   twentieth occurs in another text's as well, the text has no partner.
+   tenth of the set more, are counted over all texts.  Where fewer than that tenth
+   occurs in another text's as well, the text has no partner.
 2. *Prefixes.*  The remaining texts' shingles are counted and ordered from rare to
    frequent.  A text with more than ``m`` unique shingles has no partner.  Of the
    others, a prefix is taken that loses something in common with every partner:
@@ -41,7 +41,7 @@ from rollcall.plans.staging import written
 #: Shingles in at most so many texts enter prefixes alone, others in combinations.
 RARE = 3
 #: Shared shingles that the screen asks for, as a fraction of the set.
-SCREEN = 20
+SCREEN = 10
 #: Texts of a family that one task compares with each other or with as many others.
 CHUNK = 512
 _PIECE_BYTES = 1 << 20
@@ -129,6 +129,8 @@ def _signed(batches, percent: int):
 
 def _links(group: pa.RecordBatch, percent: int):
     """``(node, root, links)`` of the texts of a group that link with others of it."""
+    _, first = np.unique(group.column("node").to_numpy(), return_index=True)
+    group = group.take(pa.array(first))
     nodes, copies = group.column("node").to_numpy(), group.column("copies").to_numpy()
     chunk, tokens = group.column("chunk").to_numpy(), group.column("tokens")
     n = np.diff(tokens.offsets.to_numpy())
@@ -155,6 +157,18 @@ def _links(group: pa.RecordBatch, percent: int):
     return nodes[some], nodes[some][forest(own)], own @ copies[some]
 
 
+def _unique_and_common(tokens: DataFrame) -> DataFrame:
+    """``(node, token, c)``: of ``(node, token)`` rows, how many tokens only that node has, and how many nodes a token.
+
+    One of ``node`` and ``token`` is null.  A token with one row names its only node by
+    its least, so no row has to look its count up.
+    """
+    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node"))
+    alone = F.col("c") == 1
+    keys = F.when(alone, F.col("node")).alias("node"), F.when(~alone, F.col("token")).alias("token")
+    return counted.select(*keys, "c").groupBy("node", "token").agg(F.sum("c").alias("c"))
+
+
 def jaccard_classes(
     documents: DataFrame,
     percent: int = 80,
@@ -187,24 +201,27 @@ def jaccard_classes(
     distinct = written(distinct.withColumn("node", F.monotonically_increasing_id()))  # written, so that the numbers stay
 
     # 1. texts with enough low shingles that another text has as well
-    low = distinct.select("node", "n", F.explode("low").alias("token"))
-    common = written(low.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"))
+    low = distinct.select("node", F.explode("low").alias("token"))
     asked = F.greatest(F.lit(1), F.ceil(F.ceil(F.col("n") * percent / 100) / SCREEN))
-    screened = low.join(common, "token").groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
-    screened = screened.filter(F.col("c") >= asked).select("node")
-    picked = written(distinct.join(screened, "node").select("node", "h1", "h2", "least", "n", "copies"))
+    alone = _unique_and_common(low).filter("token is null").select("node", "c")
+    screened = distinct.join(alone, "node", "left").filter(F.size("low") - F.coalesce("c", F.lit(0)) >= asked)
+    picked = written(screened.select("node", "h1", "h2", "least", "n", "copies"))
 
     # 2. whole sets of these, from rare to frequent, and their prefix entries
     same = (F.col("d.h1") == F.col("p.h1")) & (F.col("d.h2") == F.col("p.h2")) & F.col("d.doc_id").eqNullSafe(F.col("p.least"))
-    texts = rows.alias("d").join(picked.alias("p"), same).select("p.node", "d.text")
-    whole = texts.mapInArrow(lambda b: _whole(b, size), "node bigint, tokens array<bigint>")
-    whole = written(whole.dropDuplicates(["node"]))
-    token = whole.select("node", F.explode("tokens").alias("token"))
-    counts = written(token.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
-    ordered = token.join(counts, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("own"))
-    ordered = ordered.join(picked.select("node", "n"), "node")
-    close = F.col("n") - F.size("own") <= F.floor(F.col("n") * (100 - percent) / 100)
-    signed = written(ordered.filter(close).mapInArrow(lambda b: _signed(b, percent), "node bigint, sign bigint"))
+    # what is picked grows with the texts, so it is never broadcast; equal rows may bring a set twice
+    texts = rows.alias("d").join(picked.hint("merge").alias("p"), same).select("p.node", "d.text")
+    whole = written(texts.mapInArrow(lambda b: _whole(b, size), "node bigint, tokens array<bigint>"))
+    counts = written(_unique_and_common(whole.select("node", F.explode("tokens").alias("token"))))
+    alone = counts.filter("token is null").select("node", F.col("c").alias("alone"))
+    close = F.coalesce("alone", F.lit(0)) <= F.floor(F.col("n") * (100 - percent) / 100)
+    near = written(picked.join(alone, "node", "left").filter(close).select("node", "n", "copies", "least"))
+    whole = written(whole.join(near.select("node"), "node", "left_semi"))
+    common = counts.filter("token is not null").select("token", "c")
+    ordered = whole.select("node", F.explode("tokens").alias("token")).join(common, "token")
+    ordered = ordered.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("c", "token"))).alias("own"))
+    signed = ordered.join(near.select("node", "n"), "node").mapInArrow(lambda b: _signed(b, percent), "node bigint, sign bigint")
+    signed = written(signed)
 
     # 3. families, and exact comparison inside them
     least = signed.groupBy("sign").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("c")).filter("c > 1")
@@ -216,7 +233,7 @@ def jaccard_classes(
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     placed = placed.select("component", "node", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
     place = ["component", "i", "j"]
-    members = whole.join(picked.select("node", "copies"), "node")
+    members = whole.join(near.select("node", "copies"), "node")
     grouped = placed.join(members, "node").repartition(*place).sortWithinPartitions(*place)
 
     def compared(batches):
@@ -229,7 +246,7 @@ def jaccard_classes(
     links = written(grouped.mapInArrow(compared, "node bigint, root bigint, links bigint"))
     number = links.groupBy("node").agg(F.sum("links").alias("links"))
     classes = connected_components(links, "node", "root")
-    least = classes.join(picked.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("first"))
+    least = classes.join(near.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("first"))
     classes = classes.join(least, "component").select("node", "first")
     known = distinct.select("node", "h1", "h2", "least", "copies").join(number, "node", "left").join(classes, "node", "left")
     known = written(known.select("h1", "h2", "copies", "links", F.coalesce("first", "least").alias("first")))
