@@ -70,3 +70,10 @@ def written(frame: DataFrame) -> DataFrame:
     folder = passing_folder(frame.sparkSession)
     frame.write.mode("append").parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
+def discard(table: DataFrame) -> None:
+    """Removes a table that :func:`written` gave, when everything made of it is written as well."""
+    for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+        files, path = _path(table.sparkSession, folder)
+        files.delete(path, True)
