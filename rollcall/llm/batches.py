@@ -47,16 +47,20 @@ def map_texts(
     """``keys`` and the columns that ``work`` makes of each text, one row for each row.
 
     ``work`` gets a list of texts and returns one list for each output column.
-    Only the named columns are read, so others may have any name.
+    Only the named columns are read, so others may have any name; an output
+    takes the place of a key of its name.
     """
-    kept = frame.select(*[F.col(k) for k in keys], F.col(text).cast("string").alias("_text"))
-    schema = ", ".join([f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in keys] + [outputs])
-
     names, types = zip(*(part.split() for part in outputs.split(", ")))
+    keys = [k for k in keys if k not in names]
+    own = "_text"
+    while own in keys:
+        own += "_"
+    kept = frame.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string").alias(own))
+    schema = ", ".join([f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in keys] + [outputs])
 
     def run(batches):
-        for piece in pieces(batches, "_text"):
-            columns = work(piece.column("_text").to_pylist())
+        for piece in pieces(batches, own):
+            columns = work(piece.column(own).to_pylist())
             arrays = [piece.column(k) for k in keys] + [pa.array(c, _TYPES[t]) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keys, *names])
 

@@ -49,13 +49,13 @@ def shuffle_into_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED,
 
     Row counts of shards differ by one at most.  Rows are told apart by a number of
     their own, so equal rows, nulls and ties are rows like any other; an empty table
-    gives an empty one.  Columns of ``rows`` named like those added are replaced.
+    gives an empty one.  Columns of ``rows`` named like those two are replaced.
     The input is written out once: its row numbers then stay, whichever task is lost.
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
     number = F.monotonically_increasing_id()
-    numbered = written(rows.drop("shard", "slot", "_row", "_block", "_bin").withColumn("_row", number))
+    numbered = written(rows.drop("shard", "slot").select(F.struct("*").alias("_own"), number.alias("_row")))
     total = numbered.count()
     blocks = max(1, min(MOST_BLOCKS, math.ceil(total / block_rows)))
     bins_each = max(1, min(MOST_BLOCKS // shards, math.ceil(total / shards / block_rows)))
@@ -85,7 +85,7 @@ def shuffle_into_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED,
     in_bin = Window.partitionBy("_bin").orderBy(_random(F.lit(seed + 2), "_row"), "_row")
     start = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in starts]), F.col("_bin") + 1)
     return binned.select(
-        *[c for c in numbered.columns if c != "_row"],
+        "_own.*",
         F.floor(F.col("_bin") / bins_each).cast("int").alias("shard"),
         (start + F.row_number().over(in_bin) - 1).alias("slot"),
     )

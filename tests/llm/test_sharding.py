@@ -22,7 +22,9 @@ def test_matrix_keeps_both_margins():
 
 @pytest.mark.parametrize(("shards", "block_rows"), [(40, 100_000), (3, 20), (7, 1), (300, 5)])
 def test_every_row_once_in_exact_shards(documents, prose, shards, block_rows):
-    found = shuffle_into_shards(documents, shards, block_rows=block_rows).collect()
+    clashing = documents.selectExpr("*", "1 as _row", "2 as _rank", "3 as shard", "4 as _own")
+    found = shuffle_into_shards(clashing, shards, block_rows=block_rows).collect()
+    assert {(r._row, r._rank, r._own) for r in found} == {(1, 2, 4)}
     assert Counter((r.doc_id, r.text) for r in found) == Counter(prose)
     sizes = Counter(r.shard for r in found)
     assert max(sizes.values()) - min(sizes.get(k, 0) for k in range(shards)) <= 1

@@ -80,6 +80,12 @@ def test_encoded_documents_decode(documents, prose, rows):
     assert rows(decoded.selectExpr("doc_id", "cast(decoded as string)")) == sorted(((k, t or "") for k, t in prose), key=repr)
 
 
+def test_keys_may_have_any_name(documents, prose):
+    found = token_counts.count_tokens(documents, VOCABULARY, keys=("doc_id", "_text", "n_tokens"))
+    assert found.columns == ["doc_id", "_text", "n_bytes", "n_tokens", "over_limit"]
+    assert found.filter("_text = 'x'").count() == len(prose)
+
+
 def test_empty_tables(no_documents):
     assert token_counts.count_tokens(no_documents, VOCABULARY).count() == 0
     assert byte_bpe.encode_and_decode(no_documents, RANKS).count() == 0
