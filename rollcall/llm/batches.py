@@ -52,10 +52,13 @@ def map_texts(
     """
     names, types = zip(*(part.split() for part in outputs.split(", ")))
     keys = [k for k in keys if k not in names]
-    own = "_text"
-    while own in keys:
-        own += "_"
-    kept = frame.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string").alias(own))
+    texts, own = [], text
+    if text not in keys or frame.schema[text].dataType.simpleString() != "string":
+        own = "_text"
+        while own in keys:
+            own += "_"
+        texts = [F.col(f"`{text}`").cast("string").alias(own)]
+    kept = frame.select(*[F.col(f"`{k}`") for k in keys], *texts)
     schema = ", ".join([f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in keys] + [outputs])
 
     def run(batches):

@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from rollcall.llm import suffix_dedup
+from rollcall.llm import suffix_dedup, suffixes
 from rollcall.llm.suffixes import common_prefixes_below, repeated_windows
 
 
@@ -36,7 +36,9 @@ def digests(prose, length):
     return sorted(out, key=repr)
 
 
-def test_windows_of_random_strings():
+@pytest.mark.parametrize("place", [21, 5])
+def test_windows_of_random_strings(monkeypatch, place):
+    monkeypatch.setattr(suffixes, "_PLACE", place)
     draw = random.Random(2)
     for _ in range(150):
         length = draw.choice([1, 3, 8, 9, 17, 30])
