@@ -36,7 +36,7 @@ from rollcall.llm.batches import pieces
 from rollcall.llm.components import connected_components
 from rollcall.llm.groups import forest, sorted_groups
 from rollcall.llm.shingles import mixed, shingle_sets
-from rollcall.plans.staging import written
+from rollcall.plans.staging import discard, written
 
 #: Shingles in at most so many texts enter prefixes alone, others in combinations.
 RARE = 3
@@ -199,6 +199,8 @@ def jaccard_classes(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.min("low").alias("low")
     )
     distinct = written(distinct.withColumn("node", F.monotonically_increasing_id()))  # written, so that the numbers stay
+    with_low, sets = sets, written(sets.drop("low"))
+    discard(with_low)
 
     # 1. texts with enough low shingles that another text has as well
     low = distinct.select("node", F.explode("low").alias("token"))
@@ -206,6 +208,8 @@ def jaccard_classes(
     alone = _unique_and_common(low).filter("token is null").select("node", "c")
     screened = distinct.join(alone, "node", "left").filter(F.size("low") - F.coalesce("c", F.lit(0)) >= asked)
     picked = written(screened.select("node", "h1", "h2", "least", "n", "copies"))
+    with_low, distinct = distinct, written(distinct.select("node", "h1", "h2", "least", "copies"))
+    discard(with_low)
 
     # 2. whole sets of these, from rare to frequent, and their prefix entries
     same = (F.col("d.h1") == F.col("p.h1")) & (F.col("d.h2") == F.col("p.h2")) & F.col("d.doc_id").eqNullSafe(F.col("p.least"))
@@ -216,7 +220,8 @@ def jaccard_classes(
     alone = counts.filter("token is null").select("node", F.col("c").alias("alone"))
     close = F.coalesce("alone", F.lit(0)) <= F.floor(F.col("n") * (100 - percent) / 100)
     near = written(picked.join(alone, "node", "left").filter(close).select("node", "n", "copies", "least"))
-    whole = written(whole.join(near.select("node"), "node", "left_semi"))
+    all_whole, whole = whole, written(whole.join(near.select("node"), "node", "left_semi"))
+    discard(all_whole)
     common = counts.filter("token is not null").select("token", "c")
     ordered = whole.select("node", F.explode("tokens").alias("token")).join(common, "token")
     ordered = ordered.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("c", "token"))).alias("own"))

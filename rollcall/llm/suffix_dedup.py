@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 from rollcall.llm.batches import pieces
 from rollcall.llm.shingles import mixed
 from rollcall.llm.suffixes import repeated_windows
-from rollcall.plans.staging import written
+from rollcall.plans.staging import discard, written
 
 GRAM = 32
 #: Distinct stretches of an anchor that are put in suffix order together.
 HOT = 4096
 #: Bytes put in suffix order at a time, unless one anchor has more.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 3 << 18
 #: Bytes of stretches for each task.
 TASK_BYTES = 8 << 20
 _PIECE_BYTES = 1 << 19
@@ -221,7 +221,8 @@ def repeated_spans(documents: DataFrame, length: int, key: str = "doc_id", text:
     long_enough = keyed.filter(F.octet_length("text") >= length)
     places = written(long_enough.mapInArrow(lambda b: _stretched(b, length), _STRETCH))
     seen = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    places = written(places.join(written(seen), "anchor"))
+    all_places, places = places, written(places.join(written(seen), "anchor"))
+    discard(all_places)
 
     stretch = ["anchor", "c1", "c2"]
     owner = F.min(F.struct("h1", "h2", "doc_id", "start")).alias("owner")
@@ -240,13 +241,20 @@ def repeated_spans(documents: DataFrame, length: int, key: str = "doc_id", text:
     grouped = contents.filter("not hot").repartition(1 + size // TASK_BYTES, "anchor").sortWithinPartitions("anchor")
     ordered = grouped.mapInArrow(lambda b: _ordered(b, length), _FOUND)
 
-    windows = written(contents.filter("hot").mapInArrow(lambda b: _windows(b, length), _WINDOW))
-    often = windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).filter("n > 1").select("w1", "w2")
-    hot = windows.filter("weight = 1").join(written(often), ["w1", "w2"]).groupBy(*stretch).agg(F.collect_list("place").alias("own"))
-    hot = hot.select(*stretch, F.flatten(F.transform("own", lambda k: F.array(k, k + 1))).alias("spans"))
+    windows = contents.filter("hot").mapInArrow(lambda b: _windows(b, length), _WINDOW)
+    place = F.min(F.struct(*stretch, "place")).alias("own")
+    # a string that occurs once names its only place by the least, so no row looks its count up
+    once = windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n"), place).filter("n = 1")
+    once = once.select("own.*").groupBy(*stretch).agg(F.collect_list("place").alias("alone"))
+    count = F.octet_length("content") - length + 1
+    hot = contents.filter("hot and weight = 1").select(*stretch, F.sequence(F.lit(0), count - 1).alias("all"))
+    hot = hot.dropDuplicates(stretch).join(once, stretch, "left")
+    repeated = F.array_except("all", F.coalesce("alone", F.array().cast("array<int>")))
+    hot = hot.select(*stretch, F.flatten(F.transform(repeated, lambda k: F.array(k, k + 1))).alias("spans")).filter("size(spans) > 0")
 
     copied = distinct.filter("weight > 1").select(*stretch, F.array(F.lit(0), F.col("count")).alias("spans"))
     found = written(ordered.unionAll(hot).unionAll(copied))
+    discard(contents)
     own = F.collect_set(F.struct("start", "spans")).alias("found")
     return places.select("h1", "h2", "start", *stretch).join(found, stretch).groupBy("h1", "h2").agg(own)
 

@@ -11,7 +11,7 @@ END = 0xFF
 
 
 #: Bits of a place in the packed sort keys; two ranks take as many each.
-_PLACE = 21
+_PLACE = 22
 
 
 def _sorted_places(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
