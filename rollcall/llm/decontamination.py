@@ -1,9 +1,9 @@
 """Benchmark items in documents, exact or edited (operator 8).
 
 Runs of a few words, the seeds, are looked for in every text.  Where one turns up,
-the words around it that an item's copy could take are kept as a passage.  Seeds
-that few passages hold, and pairs of any seeds, join passages to items; alignment
-of the passage with the item, word by word, then scores what they share.
+the words around it that an item's copy could take are kept as a passage.  Every
+seed joins the passages and items that hold it; alignment of the passage with the
+item, word by word, then scores what they share.  Equal passages are aligned once.
 
 Tasks get the seeds of one slice at a time, of bounded size, and return passages
 only, so the texts are never shuffled, and a larger benchmark means more passes
@@ -26,8 +26,6 @@ from rollcall.plans.staging import written
 SEED_WORDS = 4
 #: Seeds that tasks hold at a time, at 16 bytes each.
 SLICE = 1 << 20
-#: A seed is rare if at most this many passages hold it, and one in a thousand documents more.
-RARE = 5
 #: What an item's copy scores for a shared word, an exchanged one, an added or missing one.
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 #: Least score, as a share of the item's words.
@@ -90,16 +88,27 @@ def _passages(batches, seeds: np.ndarray, reach: np.ndarray):
         )
 
 
-def _scored(batches):
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The rows of a list column without nulls."""
+    return np.split(column.flatten().to_numpy(), np.cumsum(pc.list_value_length(column).to_numpy())[:-1])
+
+
+def _scored(batches, threshold: float):
+    """``(twin1, twin2, item_id, n_seeds, score, end)`` of the pairs that reach the threshold."""
     for batch in batches:
-        items, passages = batch.column("item_words"), batch.column("words")
-        found = [alignment(np.array(a.values), np.array(b.values)) for a, b in zip(items, passages)]
-        score = np.array([s for s, _ in found]) / np.array([len(a.values) for a in items])
-        end = pa.array([e for _, e in found], pa.int32())
-        columns = [batch.column(c) for c in ("doc_id", "item_id", "n_seeds", "at")]
-        yield pa.RecordBatch.from_arrays(
-            [*columns[:3], pa.array(score), pc.add(columns[3], end)], names=["doc_id", "item_id", "n_seeds", "score", "end_word"]
-        )
+        if not batch.num_rows:
+            continue
+        kept, found = [], []
+        for row, (item, passage) in enumerate(zip(*(_lists(batch.column(c)) for c in ("item_words", "words")))):
+            # no score is above the number of the item's words that the passage has
+            if np.isin(item, passage).sum() / len(item) >= threshold:
+                score, end = alignment(item, passage)
+                if score / len(item) >= threshold:
+                    kept.append(row)
+                    found.append((score / len(item), end))
+        own = [batch.column(c).take(pa.array(kept, pa.int64())) for c in ("twin1", "twin2", "item_id", "n_seeds")]
+        ends = [pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.int32())]
+        yield pa.RecordBatch.from_arrays([*own, *ends], names=["twin1", "twin2", "item_id", "n_seeds", "score", "end"])
 
 
 def leaked_items(
@@ -141,18 +150,19 @@ def leaked_items(
         shared = spark.sparkContext.broadcast((numbers[order], own.column("reach").to_numpy()[order]))
         found = rows.filter("text is not null").mapInArrow(lambda b, shared=shared: _passages(b, *shared.value), fields)
         passages = passages.unionAll(found)
-    passages = written(passages.withColumn("passage", F.monotonically_increasing_id()))
-
-    held = passages.select("passage", F.explode("seeds").alias("seed"))
-    often = RARE + F.lit(documents.count() / 1000)
-    counts = held.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).select("seed", (F.col("n") <= often).alias("rare"))
-    joined = held.join(written(entries.join(counts, "seed").select("seed", "item", "rare")), "seed")
-    pairs = joined.groupBy("passage", "item").agg(F.count(F.lit(1)).alias("n_seeds"), F.max("rare").alias("rare"))
-    pairs = pairs.filter("n_seeds > 1 or rare")
-    both = pairs.join(items.drop("seeds"), "item").join(passages.drop("seeds"), "passage")
-    scored = both.mapInArrow(_scored, "doc_id bigint, item_id bigint, n_seeds bigint, score double, end_word int")
+    twins = [F.xxhash64(F.lit(k), "words", "seeds").alias(f"twin{k}") for k in (1, 2)]
+    passages = written(passages.select("*", *twins))
+    twin = ["twin1", "twin2"]
+    texts = written(passages.groupBy(*twin).agg(F.first("words").alias("words"), F.first("seeds").alias("seeds")))
+
+    held = texts.select(*twin, F.explode("seeds").alias("seed"))
+    pairs = held.join(written(entries.select("seed", "item")), "seed").groupBy(*twin, "item").agg(F.count(F.lit(1)).alias("n_seeds"))
+    both = pairs.join(items.drop("seeds"), "item").join(texts.drop("seeds"), twin)
+    fields = "twin1 bigint, twin2 bigint, item_id bigint, n_seeds bigint, score double, end int"
+    scored = written(both.mapInArrow(lambda b: _scored(b, threshold), fields))
+    found = passages.select("doc_id", "at", *twin).join(scored, twin).withColumn("end_word", F.col("at") + F.col("end"))
     best = F.max(F.struct("score", "n_seeds", "end_word")).alias("best")
-    found = scored.filter(F.col("score") >= threshold).groupBy("doc_id", "item_id").agg(best)
+    found = found.groupBy("doc_id", "item_id").agg(best)
     return found.select("doc_id", "item_id", "best.score", "best.n_seeds", "best.end_word")
 
 

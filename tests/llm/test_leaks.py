@@ -76,6 +76,19 @@ def test_leaks(spark, tables, monkeypatch, slice_size):
     assert not found
 
 
+def test_frequent_single_seed(spark):
+    """A leak that shares one seed is found however many documents hold it, as are copies of an item of one seed."""
+    item = [f"w{k}" for k in range(15)]
+    edited = [f"x{k}" if k in (4, 8, 12) else word for k, word in enumerate(item)]
+    documents = [(k, " ".join([f"a{k}", *edited, f"b{k}", f"c{k} four words go round"])) for k in range(60)]
+    documents += [(100 + k, " ".join(edited)) for k in range(60)]
+    held = spark.createDataFrame(documents, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, " ".join(item)), (2, "Four words go round"), (3, "w0 w1 w2 w3 " + "other " * 20)], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.score, r.n_seeds, r.end_word) for r in leaked_items(held, items).collect()}
+    expected = {(doc, 1): (0.7, 1, 16 if doc < 100 else 15) for doc, _ in documents} | {(doc, 2): (1.0, 1, 22) for doc in range(60)}
+    assert found == expected
+
+
 def test_empty_tables(spark, tables, no_documents):
     documents, items = (spark.createDataFrame(t, f"{k} bigint, text string") for t, k in zip(tables, ("doc_id", "item_id")))
     none = spark.createDataFrame([], "item_id bigint, text string")
