@@ -7,7 +7,8 @@ item, word by word, then scores what they share.  Equal passages are aligned onc
 
 Tasks get the seeds of one slice at a time, of bounded size, and return passages
 only, so the texts are never shuffled, and a larger benchmark means more passes
-over them, not more memory.
+over them, not more memory.  What several slices find in a text is put together
+before anything is counted, so the slices leave no trace in the result.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.batches import pieces
+from rollcall.llm.groups import sorted_groups
 from rollcall.llm.shingles import runs, words
 from rollcall.plans.staging import written
 
@@ -62,7 +64,7 @@ def _seeds(batches):
 
 
 def _passages(batches, seeds: np.ndarray, reach: np.ndarray):
-    """``(doc_id, at, words, seeds)`` of the passages around seeds; ``seeds`` is sorted, ``reach`` in words."""
+    """``(doc_id, own1, own2, at, words, seeds)`` of the passages around seeds; ``seeds`` is sorted, ``reach`` in words."""
     for piece in pieces(batches, "text", _PIECE_BYTES):
         numbers, _, _, firsts = words(piece.column("text").to_pylist())
         found, text, at = runs(numbers, firsts, SEED_WORDS)
@@ -81,11 +83,13 @@ def _passages(batches, seeds: np.ndarray, reach: np.ndarray):
             (int(low[a] - firsts[text[a]]), numbers[low[a] : furthest[b - 1]].astype(np.int64), np.unique(own[a:b]).astype(np.int64))
             for a, b in zip(first, last)
         ]
-        types = (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays(
-            [piece.column("doc_id").take(pa.array(text[first])), *(pa.array(list(c), t) for c, t in zip(zip(*rows), types))],
-            names=["doc_id", "at", "words", "seeds"],
-        )
+        yield _batch([piece.column(c).take(pa.array(text[first])) for c in ("doc_id", "own1", "own2")], rows)
+
+
+def _batch(keys: list[pa.Array], rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    types = (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+    lists = [pa.array(list(c), t) for c, t in zip(zip(*rows), types)]
+    return pa.RecordBatch.from_arrays([*keys, *lists], names=["doc_id", "own1", "own2", "at", "words", "seeds"])
 
 
 def _lists(column: pa.ListArray) -> list[np.ndarray]:
@@ -93,6 +97,23 @@ def _lists(column: pa.ListArray) -> list[np.ndarray]:
     return np.split(column.flatten().to_numpy(), np.cumsum(pc.list_value_length(column).to_numpy())[:-1])
 
 
+def _merged(batches):
+    """The passages of a text that overlap as one, as if their seeds had been of one slice; sorted by text and ``at``."""
+    for group in sorted_groups(batches, ["own1", "own2"]):
+        low, words, seeds = group.column("at").to_numpy(), _lists(group.column("words")), _lists(group.column("seeds"))
+        high = low + np.array([len(w) for w in words])
+        furthest = np.maximum.accumulate(high)
+        first = np.flatnonzero(np.concatenate([[True], low[1:] >= furthest[:-1]]))
+        rows = []
+        for a, b in zip(first, np.append(first[1:], len(low))):
+            whole = np.empty(furthest[b - 1] - low[a], np.int64)
+            for k in range(a, b):
+                whole[low[k] - low[a] : high[k] - low[a]] = words[k]
+            # sorted as unsigned numbers, like those of a single slice
+            rows.append((int(low[a]), whole, np.unique(np.concatenate(seeds[a:b]).astype(np.uint64)).astype(np.int64)))
+        yield _batch([group.column(c).take(pa.array(first)) for c in ("doc_id", "own1", "own2")], rows)
+
+
 def _scored(batches, threshold: float):
     """``(twin1, twin2, item_id, n_seeds, score, end)`` of the pairs that reach the threshold."""
     for batch in batches:
@@ -141,17 +162,24 @@ def leaked_items(
     wanted = written(entries.groupBy("seed").agg(F.max("reach").alias("reach")))
     slices = -(-wanted.count() // SLICE)
     rows = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
-    fields = "doc_id bigint, at int, words array<bigint>, seeds array<bigint>"
-    passages = spark.createDataFrame([], fields)
+    own_text = ["own1", "own2"]
+    rows = rows.filter("text is not null").select("*", *[F.xxhash64(F.lit(k), "doc_id", "text").alias(f"own{k}") for k in (1, 2)])
+    fields = "doc_id bigint, own1 bigint, own2 bigint, at int, words array<bigint>, seeds array<bigint>"
+    passages = spark.createDataFrame([], f"{fields}, slice int")
     for part in range(slices):
         own = wanted.filter(F.pmod(F.xxhash64("seed"), F.lit(slices)) == part).toArrow()  # about SLICE rows
         numbers = own.column("seed").to_numpy().astype(np.uint64)
         order = np.argsort(numbers)
         shared = spark.sparkContext.broadcast((numbers[order], own.column("reach").to_numpy()[order]))
-        found = rows.filter("text is not null").mapInArrow(lambda b, shared=shared: _passages(b, *shared.value), fields)
-        passages = passages.unionAll(found)
+        found = rows.mapInArrow(lambda b, shared=shared: _passages(b, *shared.value), fields)
+        passages = passages.unionAll(found.withColumn("slice", F.lit(part)))
+    if slices > 1:
+        # rows of one id and text count once, so what meets here is of one text
+        once = [F.first(c).alias(c) for c in ("doc_id", "words", "seeds")]
+        passages = passages.groupBy(*own_text, "slice", "at").agg(*once).select(*[f.split()[0] for f in fields.split(", ")])
+        passages = passages.repartition(*own_text).sortWithinPartitions(*own_text, "at").mapInArrow(_merged, fields)
     twins = [F.xxhash64(F.lit(k), "words", "seeds").alias(f"twin{k}") for k in (1, 2)]
-    passages = written(passages.select("*", *twins))
+    passages = written(passages.select("doc_id", "at", "words", "seeds", *twins))
     twin = ["twin1", "twin2"]
     texts = written(passages.groupBy(*twin).agg(F.first("words").alias("words"), F.first("seeds").alias("seeds")))
 

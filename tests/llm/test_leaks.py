@@ -89,6 +89,17 @@ def test_frequent_single_seed(spark):
     assert found == expected
 
 
+def test_slices_leave_no_trace(spark, tables, monkeypatch):
+    """Seeds, scores and ends are the same whether the benchmark's seeds go out at once or in many slices."""
+    documents, items = tables
+    held = spark.createDataFrame(documents + documents[25:30], "doc_id bigint, text string")
+    wanted = spark.createDataFrame(items, "item_id bigint, text string")
+    whole = sorted(map(tuple, leaked_items(held, wanted).collect()), key=repr)
+    monkeypatch.setattr(decontamination, "SLICE", 40)
+    assert max(n for _, _, _, n, _ in whole) > 10
+    assert sorted(map(tuple, leaked_items(held, wanted).collect()), key=repr) == whole
+
+
 def test_empty_tables(spark, tables, no_documents):
     documents, items = (spark.createDataFrame(t, f"{k} bigint, text string") for t, k in zip(tables, ("doc_id", "item_id")))
     none = spark.createDataFrame([], "item_id bigint, text string")
