@@ -21,8 +21,8 @@ from rollcall.llm.components import connected_components
 from rollcall.llm.groups import forest, sorted_groups
 from rollcall.plans.staging import written
 
-#: Two vectors at the threshold meet in a table with probability 0.867 ** FUNCTIONS.
-TABLES, FUNCTIONS, WIDTH = 16, 10, 1.2
+#: Two vectors at the threshold meet in a table with probability 0.867 ** FUNCTIONS, and in none with less than 1e-4.
+TABLES, FUNCTIONS, WIDTH = 26, 8, 1.2
 SEED = 7
 #: Vectors of a bucket that one task compares with each other or with as many others.
 CHUNK = 512

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from rollcall.llm import embedding_dups
-from rollcall.llm.embedding_dups import near_vectors
+from rollcall.llm.embedding_dups import FUNCTIONS, TABLES, WIDTH, bucket_numbers, near_vectors
 
 
 def links(rows, threshold=0.98):
@@ -66,6 +66,18 @@ def test_one_wide_bucket_is_exact(spark, rows, vectors, chunk):
     assert {tuple(r)[2:] for r in found.filter("vec_id is null").collect()} == {(None, True)}
 
 
+def test_pairs_at_the_threshold_meet():
+    draw = np.random.default_rng(5)
+    first, other = draw.standard_normal((2, 5000, 32))
+    first /= np.linalg.norm(first, axis=1)[:, None]
+    other -= (first * other).sum(1)[:, None] * first
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    near = 0.98 * first + np.sqrt(1 - 0.98**2) * other
+    own = TABLES, FUNCTIONS, WIDTH
+    met = (bucket_numbers(first, *own) == bucket_numbers(near, *own)).any(1)
+    assert (~met).sum() <= 3
+
+
 def test_bucket_numbers_depend_on_the_vector_alone():
     draw = np.random.default_rng(3)
     units = draw.standard_normal((20, 8))
