@@ -178,6 +178,13 @@ def bad_records(spark, folder):
     return bad.select("kind", F.col("_corrupt_record").alias("text"))
 
 
+def salvaged_members(spark, folder):
+    """All groups, those of bad records with what stands before the place where they break."""
+    groups = _extracted(spark, folder, on_bad="salvage").where("_corrupt_record IS NULL")
+    members = F.array_join("members", "|").alias("members")
+    return groups.select("kind", "year", F.col("n").cast("bigint"), members, "bad_reason", F.col("bad_place").cast("bigint"))
+
+
 def sorted_members(spark, folder):
     groups = _extracted(spark, folder, on_bad="drop")
     return groups.select("kind", F.array_join(F.array_sort("members"), "|").alias("members"))
@@ -360,6 +367,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "root_element": root_element,
         "extract_fields": extract_fields,
         "bad_records": bad_records,
+        "salvaged_members": salvaged_members,
         "sorted_members": sorted_members,
         "xml_scan": xml_scan,
         "xml_scan_kinds": xml_scan_kinds,
@@ -445,7 +453,7 @@ parts AS (
     || '</' || kind || '>' AS raw
   FROM tags
 )"""
-_FIELDS = f"""
+_ALL_FIELDS = f"""
 fields AS (
   SELECT doc_id, source, {_KIND} AS kind,
     CASE WHEN source IN ('src7', 'src11') THEN NULL
@@ -453,8 +461,11 @@ fields AS (
     CASE WHEN source = 'src13' THEN []::VARCHAR[]
       ELSE [replace(w, chr(10), '') FOR w IN string_split(replace(coalesce(text, ''), '<', '&lt;'), ' ')
         IF replace(w, chr(10), '') <> ''] END AS members
-  FROM documents WHERE source <> 'src17'
+  FROM documents
 )"""
+_FIELDS = _ALL_FIELDS.replace("FROM documents", "FROM documents WHERE source <> 'src17'")
+_REPAIRED = """replace(replace(replace(replace(raw, chr(10), ''), '&', '&amp;'),
+  '<1 more>', '&lt;1 more&gt;'), 'a < b', 'a &lt; b')"""
 _DOC_RECORDS = (
     _FIELDS
     + """, records AS (
@@ -585,9 +596,12 @@ FROM pages""",
 SELECT kind, year, CAST(len(members) AS BIGINT) AS n,
   coalesce(array_to_string(members, '|'), '') AS members FROM fields""",
         "bad_records": f"""WITH {_XML}
-SELECT kind, replace(replace(replace(replace(raw, chr(10), ''), '&', '&amp;'),
-  '<1 more>', '&lt;1 more&gt;'), 'a < b', 'a &lt; b') AS text
-FROM xml WHERE source = 'src17'""",
+SELECT kind, {_REPAIRED} AS text FROM xml WHERE source = 'src17'""",
+        "salvaged_members": f"""WITH {_ALL_FIELDS}, {_XML}
+SELECT kind, year, CAST(len(members) AS BIGINT) AS n, coalesce(array_to_string(members, '|'), '') AS members,
+  CASE WHEN source = 'src17' THEN 'end tag </' || kind || '> inside <title>' END AS bad_reason,
+  CASE WHEN source = 'src17' THEN CAST(length({_REPAIRED}) - length(kind) - 3 AS BIGINT) END AS bad_place
+FROM fields JOIN xml USING (doc_id, source, kind)""",
         "sorted_members": f"""WITH {_FIELDS}
 SELECT kind, coalesce(array_to_string(list_sort(members), '|'), '') AS members FROM fields""",
         "xml_scan": f"WITH {_XML} SELECT kind, raw FROM xml WHERE source <> 'src19'",

@@ -15,6 +15,7 @@ from rollcall.plans.suite import (
     Settings,
     run_jobs,
 )
+from rollcall.sources.xml_records import DEFAULT_KINDS
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -26,7 +27,11 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--bins", default=DEFAULT_BINS)
     parser.add_argument("--year-ranges", default=DEFAULT_YEAR_RANGES)
     parser.add_argument("--top", type=int, default=DEFAULT_TOP)
-    parser.add_argument("--on-bad", default="quarantine", choices=["quarantine", "drop", "fail"])
+    parser.add_argument("--on-bad", default="quarantine", choices=["quarantine", "salvage", "drop", "fail"])
+    parser.add_argument("--kinds", default=",".join(DEFAULT_KINDS), help="record kinds, comma separated")
+    parser.add_argument("--member", default=Settings.member, help="element that holds a member")
+    parser.add_argument("--year", default=Settings.year, help="element that holds the year")
+    parser.add_argument("--scan", action="append", default=[], metavar="NAME=VALUE", help="further option of the record scan")
     parser.add_argument("--overwrite", action="store_true")
     given = parser.parse_args(arguments)
     settings = Settings(
@@ -34,7 +39,11 @@ def main(arguments: list[str] | None = None) -> None:
         bins=given.bins,
         year_ranges=given.year_ranges,
         top=given.top,
+        kinds=tuple(kind.strip() for kind in given.kinds.split(",")),
+        member=given.member,
+        year=given.year,
         on_bad=given.on_bad,
+        scan=dict(item.split("=", 1) for item in given.scan),
     )
     spark = SparkSession.builder.appName("rollcall").getOrCreate()
     mode = "overwrite" if given.overwrite else "error"

@@ -1,4 +1,4 @@
-from rollcall.functions.markup import extract_groups, repair, split_bad
+from rollcall.functions.markup import extract_groups, observe_bad, repair, split_bad
 from rollcall.functions.measures import co_members, share_hundredths
 from rollcall.functions.specs import (
     Bin,
@@ -13,6 +13,7 @@ __all__ = [
     "category_of",
     "co_members",
     "extract_groups",
+    "observe_bad",
     "parse_bins",
     "parse_categories",
     "parse_ranges",

@@ -5,18 +5,29 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rollcall.functions.specs import category_of
 
 CORRUPT = "_corrupt_record"
+#: Why a record did not parse, and after how many characters of its repaired text.
+REASON, PLACE = "bad_reason", "bad_place"
+_ON_BAD = ("quarantine", "salvage", "drop", "fail")
 
 # '<' before something no tag can start with; and the same closed by '>'
 _LONE_BRACKET = r"<(?![/a-zA-Z_!?])"
 _STRAY_TAG = _LONE_BRACKET + r"([^<>]+)>"
 _CHARACTER_DATA = r"(<!\[CDATA\[.*?\]\]>)"
 _COMMENT = r"<!--.*?-->"
+_ATTRIBUTES = r"""(?:[^<>"']++|"[^<"]*+"|'[^<']*+')*+"""
+# all of a text in pieces: what is skipped as a whole, elements in a row that hold only
+# text, a tag, plain text, a bracket that opens nothing
+_PIECE = (
+    rf"(?s){_COMMENT}|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
+    rf"|(?:<([a-zA-Z_][^\s/<>]*+)(?:\s{_ATTRIBUTES})?(?<!/)>[^<]*+</\1\s*>)++"
+    rf"|</?[a-zA-Z_]{_ATTRIBUTES}>|[^<]++|<"
+)
 
 
 def repair(raw: Column | str) -> Column:
@@ -64,10 +75,15 @@ def extract_groups(
 
     ``on_bad`` says what happens to text that does not parse: ``quarantine``
     keeps the row with its repaired text in ``_corrupt_record``, ``drop``
-    removes it, ``fail`` stops the query.
+    removes it, ``fail`` stops the query.  ``salvage`` keeps what stands before the
+    first tag that does not fit: the text is cut there, what is open is closed, and
+    the row is a group like others; text that this does not mend stays in
+    ``_corrupt_record``.  ``quarantine`` and ``salvage`` also say what is wrong:
+    ``bad_reason``, and ``bad_place``, the characters of repaired text before that
+    (null where all tags fit).  Only bad records cost anything for it.
     """
-    if on_bad not in ("quarantine", "drop", "fail"):
-        raise ValueError(f"on_bad must be quarantine, drop or fail, not {on_bad!r}")
+    if on_bad not in _ON_BAD:
+        raise ValueError(f"on_bad must be one of {', '.join(_ON_BAD)}, not {on_bad!r}")
     passed = [name for name in records.columns if name != text]
     # repair() in two steps, so that the first is not computed for each use
     plain = records.select(*passed, _escape_plain(F.col(text)).alias("_plain"))
@@ -76,42 +92,64 @@ def extract_groups(
         *passed, "_fixed", _parse(F.col("_fixed"), member, year, on_bad).alias("_direct")
     )
     flat = _parse(_flatten(F.col("_fixed"), member, year), member, year, on_bad)
-    parsed = direct.select(
-        *passed,
-        F.coalesce(
-            F.when(_needs_flattening(member, year, on_bad), flat), F.col("_direct")
-        ).alias("_found"),
-    )
+    salvages, told = on_bad == "salvage", on_bad in ("quarantine", "salvage")
+    found = F.coalesce(F.when(_needs_flattening(member, year, on_bad), flat), F.col("_direct"))
+    parsed = direct.select(*passed, *["_fixed"] * salvages, found.alias("_found"))
     found = F.col("_found")
+    if salvages:
+        broken = F.when(found[CORRUPT].isNotNull(), _unbalanced(F.col("_fixed")))
+        parsed = parsed.select(*passed, "_fixed", "_found", broken.alias("_broken"))
+        broken = F.col("_broken")
+        mended = _parse(_flatten(_closed(F.col("_fixed"), broken), member, year), member, year, on_bad)
+        parsed = parsed.select(*passed, "_found", "_broken", F.when(broken[PLACE].isNotNull(), mended).alias("_mended"))
+        sound = F.col("_mended").isNotNull() & F.col("_mended")[CORRUPT].isNull()
+        parsed = parsed.select(*passed, F.when(sound, F.col("_mended")).otherwise(found).alias("_found"), "_broken")
     corrupt = F.lit(None).cast("string") if on_bad == "fail" else found[CORRUPT]
     fields = F.struct(
         _texts(found[member]).alias("members"),
         _texts(found[year]).alias("_years"),
         corrupt.alias(CORRUPT),
+        *([F.col("_broken")] if salvages else []),
     )
     # Generated columns, not projected ones: a filter on them stays above this
     # step, where a projection would let it through and have the text parsed twice.
-    groups = parsed.select(*passed, F.inline(F.array(fields))).select(
+    groups = parsed.select(*passed, F.inline(F.array(fields)))
+    if told and not salvages:
+        # looked for where somebody reads it only
+        groups = groups.withColumn("_broken", F.when(F.col(CORRUPT).isNotNull(), _unbalanced(F.col(CORRUPT))))
+    groups = groups.select(
         *passed,
         "members",
         F.size("members").alias("n"),
         F.try_element_at("_years", F.lit(-1)).try_cast("int").alias("year"),
         CORRUPT,
+        *([F.col("_broken")[name].alias(name) for name in (REASON, PLACE)] if told else []),
     )
     if categories is not None:
         groups = groups.withColumn("category", category_of("kind", categories))
-    if on_bad == "quarantine":
+    if told:
         return groups
     return groups.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def split_bad(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Separate parsed groups from quarantined ones."""
-    good = groups.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    """Separate parsed groups, salvaged ones included, from quarantined ones, which say why."""
+    good = groups.where(F.col(CORRUPT).isNull()).drop(CORRUPT, REASON, PLACE)
     bad = groups.where(F.col(CORRUPT).isNotNull()).drop("members", "n", "year", "category")
     return good, bad
 
 
+def observe_bad(groups: DataFrame, observation: Observation) -> DataFrame:
+    """The groups as they are; what reads them all counts ``records``, ``salvaged`` and ``quarantined``."""
+    corrupt = F.col(CORRUPT).isNotNull()
+    return groups.observe(
+        observation,
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col(REASON).isNotNull() & ~corrupt).alias("salvaged"),
+        F.count_if(corrupt).alias("quarantined"),
+    )
+
+
 def _parse(fixed: Column, member: str, year: str, on_bad: str) -> Column:
     corrupt = "" if on_bad == "fail" else f", {CORRUPT} string"
     return F.from_xml(
@@ -164,3 +202,66 @@ def _flatten(fixed: Column, member: str, year: str) -> Column:
     other_tag = rf"</?(?!(?:{wanted})[\s/>])[a-zA-Z_!?][^<>]*>"
     bare = F.regexp_replace(fixed, f"{_CHARACTER_DATA}|{_COMMENT}|{other_tag}", "$1")
     return F.concat(F.lit("<r>"), bare, F.lit("</r>"))
+
+
+def _unbalanced(fixed: Column) -> Column:
+    """``(open, bad_reason, bad_place)``: the first tag that does not fit, and the elements open there.
+
+    A fold over the pieces of the text keeps the names of the open elements, the
+    characters so far and how many elements stood outermost.
+    """
+    start = F.struct(
+        F.array().cast("array<string>").alias("open"),
+        F.lit(0).alias("at"),
+        F.lit(0).alias("roots"),
+        F.lit(None).cast("string").alias(REASON),
+        F.lit(None).cast("int").alias(PLACE),
+    )
+
+    def step(state, piece):
+        opened, root = state["open"], state["roots"]
+        top = F.try_element_at(opened, F.lit(-1))
+        name = F.regexp_extract(piece, r"^</?([^\s/>]+)", 1)
+        ends, bracket, outside = F.startswith(piece, F.lit("</")), F.startswith(piece, F.lit("<")), F.size(opened) == 0
+        whole = F.rlike(piece, F.lit(r"^<(?:!--|!\[CDATA\[|\?)"))
+        starts = bracket & ~ends & ~whole & (F.length(piece) > 1)
+        stays = starts & ~F.endswith(piece, F.lit("/>")) & ~F.contains(piece, F.lit("</"))
+        reason = (
+            F.when(piece == "<", F.lit("a bracket that opens no tag"))
+            .when(ends & outside, F.concat(F.lit("end tag </"), name, F.lit("> without a start")))
+            .when(ends & (name != top), F.concat(F.lit("end tag </"), name, F.lit("> inside <"), top, F.lit(">")))
+            .when(starts & outside & (root > 0), F.lit("a second outermost element"))
+            .when(~bracket & outside & (F.trim(piece) != ""), F.lit("text outside the outermost element"))
+        )
+        after = (
+            F.when(ends, F.slice(opened, 1, F.greatest(F.size(opened) - 1, F.lit(0))))
+            .when(stays, F.concat(opened, F.array(name)))
+            .otherwise(opened)
+        )
+        found = state[REASON].isNotNull() | reason.isNotNull()
+        return F.struct(
+            F.when(found, opened).otherwise(after).alias("open"),
+            (state["at"] + F.length(piece)).alias("at"),
+            F.when(starts & outside, root + 1).otherwise(root).alias("roots"),
+            F.coalesce(state[REASON], reason).alias(REASON),
+            F.coalesce(state[PLACE], F.when(reason.isNotNull(), state["at"])).alias(PLACE),
+        )
+
+    def finish(state):
+        top = F.try_element_at(state["open"], F.lit(-1))
+        ends = F.concat(F.lit("end of the record inside <"), top, F.lit(">"))
+        unclosed = state[REASON].isNull() & (F.size(state["open"]) > 0)
+        reason = F.coalesce(state[REASON], F.when(unclosed, ends), F.lit("markup that does not parse, though all tags fit"))
+        return F.struct(
+            state["open"].alias("open"),
+            reason.alias(REASON),
+            F.coalesce(state[PLACE], F.when(unclosed, state["at"])).alias(PLACE),
+        )
+
+    return F.aggregate(F.regexp_extract_all(fixed, F.lit(_PIECE), F.lit(0)), start, step, finish)
+
+
+def _closed(fixed: Column, broken: Column) -> Column:
+    """The text before the tag that does not fit, with end tags for what is open there."""
+    ends = F.transform(F.reverse(broken["open"]), lambda name: F.concat(F.lit("</"), name, F.lit(">")))
+    return F.concat(F.substring(fixed, F.lit(1), broken[PLACE]), F.array_join(ends, ""))

@@ -2,7 +2,9 @@ from rollcall.operators.histograms import (
     bin_by_category,
     bin_by_range,
     bin_sizes,
+    histogram_by,
     size_histogram,
+    size_histograms,
 )
 from rollcall.operators.members import attach_records, explode_members, membership_counts, record_sizes
 from rollcall.operators.scores import contribution_scores, sort_scores, top_bottom
@@ -15,10 +17,12 @@ __all__ = [
     "bin_sizes",
     "contribution_scores",
     "explode_members",
+    "histogram_by",
     "membership_counts",
     "member_stats",
     "record_sizes",
     "size_histogram",
+    "size_histograms",
     "sort_scores",
     "top_bottom",
 ]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.measures import co_members
+from rollcall.operators.members import membership_counts
 
 
 def member_stats(
@@ -18,37 +19,40 @@ def member_stats(
     ``mean`` is the whole part of the mean, ``median`` the upper median; rows
     with a null in ``by`` do not count.  ``exact_mean`` adds ``mean_exact``.
     ``times`` names the column that says how many memberships a row stands for.
+
+    Equal memberships are counted first, before the shuffle where they meet.  The
+    counts of a member are then put in order of size and summed up on the way: the
+    median is the first by which more than half have come.  A member's counts pass
+    through a sort that can spill, and are never one value.
     """
     kept = memberships
     for name in by:
         kept = kept.where(F.col(name).isNotNull())
-    counted = [F.col(times).alias("times")] if times else []
-    fellows = kept.select("member", *by, co_members("n").alias("fellows"), *counted)
+    key = ["member", *by]
     if times:
-        total, rows = F.sum(F.col("fellows") * F.col("times")), F.sum("times")
-        median = _upper_median(F.array_sort(F.collect_list(F.struct("fellows", "times"))), rows)
+        counted = kept.groupBy(*key, "n").agg(F.sum(times).alias("times"))
     else:
-        total, rows = F.sum("fellows"), F.count(F.lit(1))
-        # the middle from above; Spark keeps a count per value, so the state is small
-        median = F.expr("percentile_disc(0.5) within group (order by fellows desc)")
+        counted = membership_counts(kept, by)
+    counted = counted.select(*key, co_members("n").alias("fellows"), "times")
+    own = Window.partitionBy(*key).orderBy("fellows")
+    so_far = own.rowsBetween(Window.unboundedPreceding, 0)
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    read = counted.select(
+        "*",
+        F.sum("times").over(so_far).alias("so_far"),
+        F.sum("times").over(whole).alias("rows"),
+        F.sum(F.col("fellows") * F.col("times")).over(whole).alias("total"),
+        F.first("fellows").over(whole).alias("min"),
+        F.last("fellows").over(whole).alias("max"),
+    )
+    half = F.call_function("div", F.col("rows"), F.lit(2).cast("bigint"))
+    middle = read.where((F.col("so_far") > half) & (F.col("so_far") - F.col("times") <= half))
     columns = [
-        F.call_function("div", total, rows).alias("mean"),
-        median.cast("bigint").alias("median"),
-        F.min("fellows").alias("min"),
-        F.max("fellows").alias("max"),
+        F.call_function("div", F.col("total"), F.col("rows")).alias("mean"),
+        F.col("fellows").alias("median"),
+        "min",
+        "max",
     ]
     if exact_mean:
-        columns.append((total / rows).alias("mean_exact"))
-    return fellows.groupBy("member", *by).agg(*columns)
-
-
-def _upper_median(values: Column, rows: Column) -> Column:
-    """The first of the sorted ``(fellows, times)`` by which more than half of ``rows`` have come."""
-    half = F.call_function("div", rows, F.lit(2).cast("bigint"))
-    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("value"))
-
-    def step(state, entry):
-        value = F.when(state["seen"] > half, state["value"]).otherwise(entry["fellows"])
-        return F.struct((state["seen"] + entry["times"]).alias("seen"), value.alias("value"))
-
-    return F.aggregate(values, start, step)["value"]
+        columns.append((F.col("total") / F.col("rows")).alias("mean_exact"))
+    return middle.select(*key, *columns)

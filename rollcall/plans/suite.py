@@ -7,11 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from rollcall.functions.markup import extract_groups, split_bad
+from rollcall.functions.markup import extract_groups, observe_bad, split_bad
 from rollcall.functions.specs import parse_bins, parse_categories, parse_ranges
-from rollcall.operators.histograms import bin_by_category, bin_by_range, bin_sizes, size_histogram
+from rollcall.operators.histograms import bin_by_category, bin_by_range, bin_sizes, histogram_by, size_histograms
 from rollcall.operators.members import explode_members, membership_counts
 from rollcall.operators.scores import contribution_scores, sort_scores, top_bottom
 from rollcall.operators.stats import member_stats
@@ -67,7 +67,8 @@ HEADERS = {
     ],
 }
 
-# jobs that look at single members; the others need sizes only
+# jobs that need sizes only, and by what; then those that look at single members
+_SIZE_JOBS = {"AuthorCount": "", "PublicationVenueStratification": "category", "PublicationYearStratification": "year"}
 _MEMBER_JOBS = {"Authorship", "MeanMedianStatistics", "MeanMedianStatisticsWithStratification"}
 
 
@@ -106,6 +107,7 @@ def run_jobs(
     settings: Settings = Settings(),
     *,
     mode: str = "error",
+    observation: Observation | None = None,
 ) -> dict[str, str]:
     """Run the named jobs and give the report folder of each.
 
@@ -113,7 +115,9 @@ def run_jobs(
     replaced by each job's folder name, or appended when it is not there.  The
     scan and parse happen once: the extracted groups are written to the shared
     staging folder, so a lost executor costs no second scan, and each job reads
-    only the columns it needs.  Records that did not parse go to ``Quarantine``.
+    only the columns it needs.  Records that did not parse go to ``Quarantine``, with the
+    reason; ``observation`` counts them on the way (:func:`observe_bad`).  The jobs about sizes share
+    one pass over the groups, those about members one shuffle of the memberships.
     """
     wanted = _checked(names)
     jobs = _jobs(settings)
@@ -121,14 +125,21 @@ def run_jobs(
         output = f"{output.rstrip('/')}/(jobName)"
     with staging_folder(spark) as folder:
         scanned = scan_groups(spark, source, settings)
+        quarantines = settings.on_bad in ("quarantine", "salvage")
+        if observation is not None and quarantines:
+            scanned = observe_bad(scanned, observation)
         if not _MEMBER_JOBS.intersection(wanted):
             scanned = scanned.drop("members")
         scanned.write.parquet(f"{folder}/groups")
         groups = spark.read.parquet(f"{folder}/groups")
-        if settings.on_bad == "quarantine":
+        if quarantines:
             groups, bad = split_bad(groups)
             bad.write.mode(mode).parquet(output.replace("(jobName)", QUARANTINE))
-        members = None
+        sizes = members = None
+        keys = [_SIZE_JOBS[name] for name in wanted if _SIZE_JOBS.get(name)]
+        if _SIZE_JOBS.keys() & set(wanted):
+            size_histograms(groups, keys).write.parquet(f"{folder}/sizes")
+            sizes = spark.read.parquet(f"{folder}/sizes")
         if _MEMBER_JOBS.intersection(wanted):
             counted = membership_counts(explode_members(groups, ["category"]), ["category"])
             counted.write.parquet(f"{folder}/members")
@@ -140,7 +151,7 @@ def run_jobs(
         def run(name: str) -> str:
             job = FOLDERS[name]
             report = f"{place(job)}/{job}.csv"
-            table = members if name in _MEMBER_JOBS else groups
+            table = members if name in _MEMBER_JOBS else sizes
             jobs[name](table, place, report, f"{folder}/{job}", mode)
             return report
 
@@ -160,24 +171,23 @@ def _checked(names: str | Iterable[str]) -> list[str]:
 
 def _jobs(settings: Settings) -> dict[str, Callable]:
     """Each job takes its table, a function from folder name to path, its report
-    folder, a staging folder of its own and the write mode.  The table holds the groups,
-    or for jobs about members how often each has a record of each size and category."""
+    folder, a staging folder of its own and the write mode.  The table holds the size
+    histograms, or for jobs about members how often each has a record of each size and category."""
     bins = parse_bins(settings.bins)
     ranges = parse_ranges(settings.year_ranges)
     categories = list(parse_categories(settings.categories).values())
 
-    def histogram(job, by, binned):
-        def run(groups, place, report, folder, mode):
-            size_histogram(groups, by).write.parquet(folder)
-            table = groups.sparkSession.read.parquet(folder)
+    def histogram(job, binned):
+        def run(sizes, place, report, folder, mode):
+            table = histogram_by(sizes, _SIZE_JOBS[job])
             write_key_values(table.orderBy(*table.columns[:-1]), f"{place(FOLDERS[job])}/counts", mode=mode)
             write_report(binned(table), report, HEADERS[job], mode=mode)
 
         return run
 
-    by_size = histogram("AuthorCount", [], lambda table: bin_sizes(table, bins))
-    by_category = histogram("PublicationVenueStratification", ["category"], lambda table: bin_by_category(table, bins, categories))
-    by_year = histogram("PublicationYearStratification", ["year"], lambda table: bin_by_range(table, bins, ranges))
+    by_size = histogram("AuthorCount", lambda table: bin_sizes(table, bins))
+    by_category = histogram("PublicationVenueStratification", lambda table: bin_by_category(table, bins, categories))
+    by_year = histogram("PublicationYearStratification", lambda table: bin_by_range(table, bins, ranges))
 
     def by_score(members, place, report, folder, mode):
         contribution_scores(members, times="times").write.parquet(folder)

@@ -1,12 +1,16 @@
 """Repair and extraction, one untidy shape at a time."""
 
 import random
+import re
 from xml.etree import ElementTree
 
+from xml.parsers import expat
+
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from rollcall.functions.markup import extract_groups, repair, root_kind, split_bad
+from rollcall.functions.markup import extract_groups, observe_bad, repair, root_kind, split_bad
 
 
 def extracted(spark, *texts, **options):
@@ -102,6 +106,107 @@ def test_bad_records(spark):
         extracted(spark, GOOD, on_bad="ignore")
 
 
+# text, members kept, what is wrong, and the part of the repaired text before that
+BROKEN = {
+    "unclosed inside": (BAD, ["Qbad"], "end tag </book> inside <title>", '<book key="b"><author>Q<title>bad'),
+    "unclosed record": (TAIL, ["Q"], "end of the record inside <book>", TAIL),
+    "later members": ("<a><author>A</author><t>x</a><author>B</author>", ["A"], "end tag </a> inside <t>", "<a><author>A</author><t>x"),
+    "crossed": ("<a><author>A<i>b</author></i></a>", ["Ab"], "end tag </author> inside <i>", "<a><author>A<i>b"),
+    "cut tag": ("<a><author>A</author><author x='1", ["A"], "a bracket that opens no tag", "<a><author>A</author>"),
+    "cut comment": ("<a><author>A</author><!-- <author>", ["A"], "a bracket that opens no tag", "<a><author>A</author>"),
+    "quoted bracket": ("<a><author>A</author><p t='a>b'></a>", ["A"], "end tag </a> inside <p>", "<a><author>A</author><p t='a>b'>"),
+    "quoted tags": ("<a><![CDATA[</x>]]><author>A</author><!-- </y> --></q>", ["A"], "end tag </q> inside <a>", "<a><![CDATA[</x>]]><author>A</author><!-- </y> -->"),
+    "no start": ("</a>", [], "end tag </a> without a start", ""),
+    "text before": ("x<a/>", [], "text outside the outermost element", ""),
+    "escaped before": ("<a>R & D <author>A</author></b>", ["A"], "end tag </b> inside <a>", "<a>R &amp; D <author>A</author>"),
+    "year": ("<a><year>1999</year><author>A</author><t></a>", ["A"], "end tag </a> inside <t>", "<a><year>1999</year><author>A</author><t>"),
+}
+
+
+def test_salvage(spark):
+    texts = [text for text, *_ in BROKEN.values()]
+    for row, (_, members, reason, before) in zip(extracted(spark, *texts, on_bad="salvage").collect(), BROKEN.values()):
+        assert (row["members"], row["bad_reason"], row["bad_place"], row["_corrupt_record"]) == (members, reason, len(before), None)
+    for row, (_, _, reason, before) in zip(extracted(spark, *texts).collect(), BROKEN.values()):
+        assert (row["members"], row["bad_reason"], row["bad_place"]) == ([], reason, len(before))
+        assert row["_corrupt_record"].startswith(before)
+    years = [row["year"] for row in extracted(spark, *texts, on_bad="salvage").collect()]
+    assert years == [None] * (len(texts) - 1) + [1999]
+
+
+def test_what_salvage_leaves(spark):
+    """Sound records and null text have no reason; what no tag explains stays in quarantine, with one."""
+    twice = "<a><author x='1' x='2'>A</author></a>"
+    found = extracted(spark, GOOD, None, twice, BAD, on_bad="salvage")
+    rows = [(r["members"], r["bad_reason"], r["bad_place"], r["_corrupt_record"]) for r in found.collect()]
+    assert rows[:2] == [(["A"], None, None, None), ([], None, None, None)]
+    assert rows[2] == ([], "markup that does not parse, though all tags fit", None, twice)
+    good, bad = split_bad(found)
+    assert [r["id"] for r in good.collect()] == [0, 1, 3] and not {"bad_reason", "bad_place"} & set(good.columns)
+    assert [(r["id"], r["bad_reason"]) for r in bad.collect()] == [(2, rows[2][1])]
+
+
+def test_bad_records_are_counted_on_the_way(spark):
+    for on_bad, salvaged in (("salvage", 2), ("quarantine", 0)):
+        seen = Observation()
+        assert observe_bad(extracted(spark, GOOD, BAD, TAIL, on_bad=on_bad), seen).count() == 3
+        assert seen.get == {"records": 3, "salvaged": salvaged, "quarantined": 2 - salvaged}
+
+
+def read_until_broken(text):
+    """Members and years as another parser reports them until it meets something that does not fit; and where."""
+    parser, members, years, open_ = expat.ParserCreate("utf-8"), [], [], []
+
+    def start(name, _):
+        if name in ("author", "year"):
+            (members if name == "author" else years).append("")
+        open_.append((name, len(members) - 1, len(years) - 1))
+
+    def data(some):
+        for name, m, y in open_:
+            if name == "author":
+                members[m] += some
+            elif name == "year":
+                years[y] += some
+
+    parser.StartElementHandler, parser.CharacterDataHandler = start, data
+    parser.EndElementHandler = lambda _: open_.pop()
+    try:
+        parser.Parse(text.encode(), True)
+    except expat.ExpatError:
+        pass
+    return [m for m in members if m], [y for y in years if y]
+
+
+def test_random_breaks_against_another_parser(spark):
+    """Tags taken out, doubled or cut off: what is kept is what that parser had read."""
+    rng, texts = random.Random(12), []
+    while len(texts) < 400:
+        text = random_record(rng)
+        tags = [m.span() for m in re.finditer(r"</?[a-z][^<>]*>", text)]
+        a, b = rng.choice(tags[1:])
+        texts.append(rng.choice([text[:a] + text[b:], text[:a] + "</x>" + text[a:], text[:b] + text[a:], text[:a], text[: a + 1], text[:b]]))
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, raw string").repartition(8)
+    fixed, salvaged = dict(frame.select("id", repair("raw")).collect()), 0
+    for row in extract_groups(frame, on_bad="salvage").collect():
+        members, years = read_until_broken(fixed[row["id"]])
+        nested = re.search(r"<(author|year)[^<>]*(?<!/)>(?:(?!</\1>).)*<(author|year)\b", fixed[row["id"]])
+        assert row["_corrupt_record"] is None, texts[row["id"]]
+        salvaged += row["bad_reason"] is not None
+        if not nested:  # members inside members are not supported
+            assert row["members"] == members, texts[row["id"]]
+            assert row["year"] == (int(years[-1]) if years and years[-1].isdigit() else None), texts[row["id"]]
+    assert salvaged > 150
+
+
+def test_salvage_is_worked_out_for_bad_records_only(spark):
+    """The fold and the second parse stand behind a condition, and no parse is done twice."""
+    frame = spark.createDataFrame([(GOOD,)], "raw string")
+    plan = extract_groups(frame, on_bad="salvage")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") == 3 and plan.count("regexp_extract_all(") == 1
+    assert "CASE WHEN isnotnull(_found" in plan
+
+
 def test_other_element_names(spark):
     frame = spark.createDataFrame([("<a><by>X</by><by>Y</by><when>7</when></a>",)], "raw string")
     row = extract_groups(frame, member="by", year="when").collect()[0]

@@ -7,7 +7,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.functions.specs import parse_bins, parse_ranges
+from rollcall.functions.specs import Bin, parse_bins, parse_ranges
 from rollcall.operators import (
     attach_records,
     bin_by_category,
@@ -15,10 +15,12 @@ from rollcall.operators import (
     bin_sizes,
     contribution_scores,
     explode_members,
+    histogram_by,
     member_stats,
     membership_counts,
     record_sizes,
     size_histogram,
+    size_histograms,
     sort_scores,
     top_bottom,
 )
@@ -111,6 +113,36 @@ def label(b, top):
     return f"{b.lo}-{top}" if b.hi is None and top >= b.lo else b.label
 
 
+def test_ten_thousand_overlapping_bins(spark):
+    rng = random.Random(6)
+    counts = {n: rng.randint(1, 9) for n in rng.sample(range(1, 60_000), 3000)}
+    ends = [sorted(rng.sample(range(70_000), 2)) for _ in range(9_990)]
+    bins = [Bin(k, f"b{k}", lo, hi) for k, (lo, hi) in enumerate(ends)]
+    bins += [Bin(9_990 + k, f"{lo}-end", lo, None) for k, lo in enumerate(range(0, 100_000, 10_000))]
+    frame = spark.createDataFrame(list(counts.items()), "n bigint, records bigint").repartition(4)
+    so_far, total = [0], 0
+    for n in range(100_001):
+        total += counts.get(n, 0)
+        so_far.append(total)
+    top = max(counts)
+    expected = [(label(b, top), so_far[(99_999 if b.hi is None else b.hi) + 1] - so_far[b.lo]) for b in bins]
+    assert [tuple(r) for r in bin_sizes(frame, bins).collect()] == expected
+
+
+def test_bins_by_no_category(spark):
+    frame = spark.createDataFrame([(1, "x", 2)], "n int, category string, records int")
+    assert bin_by_category(frame, parse_bins("1"), []).collect() == []
+
+
+def test_histograms_in_one_pass(data, rows):
+    groups, frame = data
+    found = size_histograms(frame, ["category", "year"]).cache()
+    assert rows(histogram_by(found)) == rows(size_histogram(frame))
+    for key in ("category", "year"):
+        assert rows(histogram_by(found, key)) == rows(size_histogram(frame, [key]))
+    assert rows(histogram_by(size_histograms(frame, []))) == rows(size_histogram(frame))
+
+
 def test_open_bin_counts_the_largest_size_of_any_year(spark):
     frame = spark.createDataFrame([(12, 1800), (11, 1990)], "n int, year int")
     table = bin_by_range(size_histogram(frame, ["year"]), parse_bins("11-end"), parse_ranges("1981-2000"))

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as contract
+from rollcall.functions.specs import Bin
+from rollcall.operators import bin_by_range, bin_sizes, size_histograms
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -29,7 +31,7 @@ def test_scans_read_two_columns(spark):
 def test_aggregates_start_before_the_shuffle(spark):
     assert "partial_count(1)" in plan_of(spark, "size_histogram")
     assert "partial_sum" in plan_of(spark, "contribution_score")
-    assert "partial_percentile_disc" in plan_of(spark, "member_stats")
+    assert plan_of(spark, "member_stats").count("partial_count(1)") == 2  # of records, and of equal memberships
 
 
 def test_ranking_does_not_sort_everything(spark):
@@ -37,3 +39,33 @@ def test_ranking_does_not_sort_everything(spark):
     assert plan.count("TakeOrderedAndProject(limit=20") == 2
     assert "rangepartitioning" not in plan
     assert "rangepartitioning(score" in plan_of(spark, "sorted_scores")
+
+
+@pytest.mark.parametrize("name", ["member_stats", "member_stats_by_category", "xml_member_stats"])
+def test_statistics_hold_no_collected_values(spark, name):
+    """Medians come from counts in order, so no member's values are one row or one buffer."""
+    plan = plan_of(spark, name)
+    assert "Window" in plan
+    for forbidden in ("ObjectHashAggregate", "collect_list", "percentile"):
+        assert forbidden not in plan
+
+
+def test_histograms_share_one_scan(spark):
+    groups = spark.read.parquet(f"{FOLDER}/orders.parquet").selectExpr(
+        "length(o_orderstatus) AS n", "o_orderpriority AS category", "year(o_orderdate) AS year"
+    )
+    plan = size_histograms(groups, ["category", "year"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1
+
+
+def test_bins_are_one_literal(spark):
+    """The plan has as many nodes and expressions for ten thousand bins as for two."""
+    histogram = spark.range(10).selectExpr("id AS n", "id AS records", "id AS year")
+
+    def size_of(bins):
+        plans = bin_sizes(histogram, bins), bin_by_range(histogram, bins, bins)
+        analyzed = [frame._jdf.queryExecution().analyzed().treeString() for frame in plans]
+        return [(text.count("\n"), text.count("CASE WHEN"), text.count("named_struct")) for text in analyzed]
+
+    few = [Bin(0, "a", 1, 2), Bin(1, "b", 2, None)]
+    assert size_of([Bin(k, str(k), k, 3 * k) for k in range(10_000)]) == size_of(few)

@@ -4,6 +4,7 @@ import csv
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Observation
 
 from rollcall.__main__ import main
 from rollcall.plans import JOB_NAMES, Settings, run_jobs
@@ -111,6 +112,9 @@ def test_command_line(spark, source, tmp_path, capsys):
     main([source, out, "--jobs", "Authorship", "--top", "1"])
     assert "Authorship: " in capsys.readouterr().out
     assert report(f"{out}/MapReduceJob4/MapReduceJob4.csv")[1:] == [['Ünal "U"', "Zo&euml;"]]
+    own = ["--kinds", "poem, book", "--member", "editor", "--bins", "1-end", "--scan", "split_bytes=60", "--scan", "block_bytes=32"]
+    main([source, f"{out}/own", "--jobs", "AuthorCount", "--on-bad", "salvage", *own])
+    assert report(f"{out}/own/MapReduceJob1/MapReduceJob1.csv")[1:] == [["1-1", "1"]]
 
 
 def test_csv_keeps_values(spark, rows, tmp_path):
@@ -164,3 +168,12 @@ def test_cluster_needs_a_shared_folder():
         staging_root(session)
     session.conf = Conf({"spark.checkpoint.dir": "hdfs://shared/tmp/"})
     assert staging_root(session) == "hdfs://shared/tmp"
+
+
+def test_salvage_and_counts_of_bad_records(spark, source, tmp_path):
+    seen = Observation()
+    folders = run_jobs(
+        spark, source, str(tmp_path / "out"), "AuthorCount", Settings(bins="1-2,3-end", on_bad="salvage"), observation=seen
+    )
+    assert seen.get == {"records": 6, "salvaged": 1, "quarantined": 0}
+    assert report(folders["AuthorCount"])[1:] == [["1-2", "4"], ["3-3", "1"]]
