@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,6 +12,7 @@ from rollcall.functions.markup import extract_groups, repair, root_kind, split_b
 from rollcall.functions.measures import co_members, share_hundredths
 from rollcall.functions.specs import category_of, parse_bins, parse_categories, parse_ranges
 from rollcall.operators import (
+    attach_category,
     bin_by_category,
     bin_by_range,
     bin_sizes,
@@ -20,6 +22,7 @@ from rollcall.operators import (
     size_histogram,
     sort_scores,
     top_bottom,
+    with_rank,
 )
 from rollcall.plans import documents, orders
 from rollcall.plans.staging import passing_folder, written
@@ -36,12 +39,11 @@ from rollcall.plans.suite import (
 from rollcall.sinks import write_key_values, write_report, write_table
 from rollcall.sources import read_in_order, read_results, read_xml_records
 
-try:  # an optional subpackage and its pipeline
+try:  # an optional subpackage and its pipeline, which need further libraries
     import corpus_pipeline
     from rollcall.llm import queries as llm_queries
 except ModuleNotFoundError as missing:
-    if not {missing.name} & {"corpus_pipeline", "rollcall.llm"}:
-        raise
+    warnings.warn(f"no queries of rollcall.llm: {missing}", stacklevel=2)
     corpus_pipeline = llm_queries = None
 
 TOP = 20
@@ -70,6 +72,14 @@ def category_lookup(spark, folder):
     return table.select("o_orderkey", kind, category.alias("category"))
 
 
+def category_table_lookup(spark, folder):
+    """Customers' countries as kinds, and the regions of these in a table as categories."""
+    regions = spark.read.parquet(f"{folder}/region.parquet").where("r_name <> 'ASIA'")
+    nations = spark.read.parquet(f"{folder}/nation.parquet").join(regions, F.expr("n_regionkey = r_regionkey"))
+    customers = spark.read.parquet(f"{folder}/customer.parquet").select("c_custkey", F.col("c_nationkey").alias("kind"))
+    return attach_category(customers, nations, key="n_nationkey", category="r_name").withColumnRenamed("r_name", "category")
+
+
 def size_by_category(spark, folder):
     return size_histogram(orders.order_records(spark, folder), ["category"])
 
@@ -107,6 +117,10 @@ def sorted_scores_descending(spark, folder):
     return sort_scores(contribution_score(spark, folder), descending=True)
 
 
+def scores_with_rank(spark, folder):
+    return with_rank(contribution_score(spark, folder), [F.col("score"), F.col("member")])
+
+
 def top_bottom_members(spark, folder):
     return top_bottom(contribution_score(spark, folder), TOP)
 
@@ -163,6 +177,12 @@ def xml_scan_untidy(spark, folder):
     return read_xml_records(spark, documents.written_untidy(spark, folder)).select("kind", "raw")
 
 
+def xml_scan_end_tag(spark, folder):
+    """Records up to their own end tags, over starts of others, in ranges of 64 KiB."""
+    options = {"capture": "end_tag", "split_bytes": 1 << 16}
+    return read_xml_records(spark, documents.written_nested(spark, folder), **options).select("kind", "raw")
+
+
 def _extracted(spark, folder, on_bad="quarantine"):
     return extract_groups(_scan(spark, folder, require_attributes=False), on_bad=on_bad)
 
@@ -352,6 +372,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "size_histogram": size_histogram_query,
         "size_histogram_binned": size_histogram_binned,
         "category_lookup": category_lookup,
+        "category_table_lookup": category_table_lookup,
         "size_by_category": size_by_category,
         "size_by_category_binned": size_by_category_binned,
         "size_by_year": size_by_year,
@@ -360,6 +381,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contribution_score": contribution_score,
         "sorted_scores": sorted_scores,
         "sorted_scores_descending": sorted_scores_descending,
+        "scores_with_rank": scores_with_rank,
         "top_bottom_members": top_bottom_members,
         "member_stats": member_stats_query,
         "member_stats_by_category": member_stats_by_category,
@@ -389,6 +411,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_round_trip": report_round_trip,
         "xml_scan_offsets": xml_scan_offsets,
         "xml_scan_untidy": xml_scan_untidy,
+        "xml_scan_end_tag": xml_scan_end_tag,
         "results_blank_lines": results_blank_lines,
         "counts_in_order": counts_in_order,
         "scores_in_order": scores_in_order,
@@ -568,6 +591,8 @@ UNION ALL SELECT 'SortedScores', concat_ws('|', member, CAST(score AS VARCHAR))
   CASE o_orderpriority WHEN '1-URGENT' THEN 'rush' WHEN '2-HIGH' THEN 'rush'
     WHEN '3-MEDIUM' THEN 'normal' WHEN '4-NOT SPECIFIED' THEN 'unset' END AS category
 FROM orders""",
+        "category_table_lookup": """SELECT c_custkey, c_nationkey AS kind, r_name AS category
+FROM customer LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey AND r_name <> 'ASIA') ON c_nationkey = n_nationkey""",
         "size_by_category": f"""WITH {_ORDER_RECORDS}
 SELECT n, category, CAST(count(*) AS BIGINT) AS records FROM records
 WHERE category IS NOT NULL GROUP BY n, category""",
@@ -582,6 +607,8 @@ SELECT l_orderkey, member, CAST((200 + n) // (2 * n) AS BIGINT) AS hundredths,
         "contribution_score": f"WITH {_ORDER_MEMBERS} {_SCORES}",
         "sorted_scores": f"WITH {_ORDER_MEMBERS} {_SCORES} ORDER BY score, member",
         "sorted_scores_descending": f"WITH {_ORDER_MEMBERS} {_SCORES} ORDER BY score DESC, member DESC",
+        "scores_with_rank": f"""WITH {_ORDER_MEMBERS}, scores AS ({_SCORES})
+SELECT member, score, CAST(row_number() OVER (ORDER BY score, member) AS BIGINT) AS rank FROM scores""",
         "top_bottom_members": _RANKS.format(members=_ORDER_MEMBERS),
         "member_stats": f"WITH {_ORDER_MEMBERS} {_STATS_ALL}",
         "member_stats_by_category": f"WITH {_ORDER_MEMBERS} {_STATS_BY}",
@@ -634,6 +661,16 @@ SELECT unnest(CASE doc_id % 3 WHEN 0 THEN ['book', 'article'] WHEN 1 THEN ['phdt
     WHEN 1 THEN ['<phdthesis k=' || k || '<![CDATA[', '<book k=' || i || ']]></phdthesis>' || chr(10)]
     ELSE ['<www k=' || k || 'not closed' || chr(10)] END) AS raw
 FROM named""",
+        "xml_scan_end_tag": """
+WITH named AS (
+  SELECT doc_id % 3 AS shape, ' k=' || chr(39) || doc_id || chr(39) || '>' AS k, ' k=' || chr(39) || 'inner' || chr(39) || '>' AS i,
+    replace(coalesce(text, ''), '<', '&lt;') AS t
+  FROM documents
+)
+SELECT 'book' AS kind, '<book' || k || t || '<article' || i || 'B</article>C</book>' AS raw FROM named WHERE shape = 0
+UNION ALL SELECT 'www', '<www' || k || '<book' || i || t || '</www>' FROM named WHERE shape = 1
+UNION ALL SELECT 'phdthesis', '<phdthesis' || k || '</phdthesis>' FROM named WHERE shape = 1
+UNION ALL SELECT 'article', '<article' || k || '<article' || i || '<www >' || t || '</article>' FROM named WHERE shape = 2""",
         "results_blank_lines": "SELECT o_orderkey, o_orderstatus FROM orders",
         "counts_in_order": f"""WITH {_DOC_RECORDS}, counted AS ({_HISTOGRAM.format(t='records')})
 SELECT CAST(row_number() OVER (ORDER BY n) AS BIGINT) AS position, n, records FROM counted""",

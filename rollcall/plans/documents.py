@@ -123,6 +123,23 @@ def untidy_records(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet").select(shape.alias("raw"))
 
 
+def written_nested(spark: SparkSession, folder: str) -> str:
+    """Folder of files whose records hold starts and ends of others."""
+    return _written_once(spark, folder, "documents", nested_records, "nested")
+
+
+def nested_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Each row's records are closed in it, so the order of rows does not matter."""
+    shapes = (
+        "<book k='%1$d'>%2$s<article k='inner'>B</article>C</book>",
+        "<www k='%1$d'><book k='inner'>%2$s</www></book><phdthesis k='%1$d'></phdthesis>",
+        "</www><article k='%1$d'><article k='inner'><www >%2$s</article></article>",
+    )
+    words = F.replace(F.coalesce("text", F.lit("")), F.lit("<"), F.lit("&lt;"))
+    shape = F.get(F.array(*[F.format_string(text, "doc_id", words) for text in shapes]), F.pmod("doc_id", F.lit(3)).cast("int"))
+    return spark.read.parquet(f"{folder}/documents.parquet").select(shape.alias("raw"))
+
+
 def _written_once(
     spark: SparkSession, folder: str, name: str, texts: Callable[[SparkSession, str], DataFrame], form: str = "text"
 ) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.specs import Bin, parse_bins, parse_ranges
 from rollcall.operators import (
+    attach_category,
     attach_records,
     bin_by_category,
     bin_by_range,
@@ -23,6 +24,7 @@ from rollcall.operators import (
     size_histograms,
     sort_scores,
     top_bottom,
+    with_rank,
 )
 
 
@@ -254,3 +256,41 @@ def test_rows_of_a_huge_record_go_to_several_tasks(spark):
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_category_from_a_table(spark, rows, threshold):
+    """No record is lost or doubled, whether the table is broadcast or not; one kind has a third of the records."""
+    rng = random.Random(8)
+    records = [(k, rng.choice(["hot", None, *(f"k{i}" for i in range(9))]), "old") for k in range(3000)]
+    table = [("hot", "H"), ("hot", "H"), ("k1", "A"), ("k2", "B"), ("k3", None), ("k4", None), ("k4", "D"), (None, "N"), ("unused", "U")]
+    wanted = {"hot": "H", "k1": "A", "k2": "B", "k4": "D"}
+    frame = spark.createDataFrame(records, "id int, kind string, category string").repartition(4)
+    lookup = spark.createDataFrame(table, "kind string, category string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = attach_category(frame, lookup)
+        assert found.columns == ["id", "kind", "category"]
+        assert rows(found) == sorted(((k, kind, wanted.get(kind)) for k, kind, _ in records), key=repr)
+        twice = lookup.unionAll(spark.createDataFrame([("hot", "G")], lookup.schema))
+        assert {r["category"] for r in attach_category(frame, twice, on_repeat="least").where("kind = 'hot'").collect()} == {"G"}
+        with pytest.raises(Exception, match="two categories for hot"):
+            attach_category(frame, twice).collect()
+        assert attach_category(frame, lookup.limit(0)).where("category IS NOT NULL").count() == 0
+        assert attach_category(frame.limit(0), lookup).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_ranks(spark):
+    rng = random.Random(9)
+    values = [(k, rng.choice([1.0, 1.0, 2.5, rng.random(), None]), rng.randrange(99)) for k in range(5000)]
+    frame = spark.createDataFrame(values, "member int, score double, rank int").drop("rank").repartition(7)
+    found = with_rank(frame, [F.desc("score"), F.asc("member")])
+    assert found.columns == ["member", "score", "rank"]
+    ordered = sorted(values, key=lambda row: (row[1] is None, -(row[1] or 0), row[0]))
+    assert sorted((r["rank"], r["member"]) for r in found.collect()) == [(n, row[0]) for n, row in enumerate(ordered, 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan
+    assert with_rank(frame.limit(0), [F.col("score")]).count() == 0

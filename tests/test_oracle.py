@@ -1,6 +1,9 @@
 """Every registered query against its SQL counterpart on the given tables."""
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from oracle import compare, connect
@@ -26,6 +29,20 @@ def test_query_matches_sql(spark, connection, name):
     assert compare(frame, connection, contract.oracle_sql()[name]) > 0
 
 
+@pytest.mark.parametrize("missing", ["rollcall.llm", "corpus_pipeline", "public_tokenizers", "sentencepiece"])
+def test_queries_without_what_is_optional(missing):
+    """In a process of its own where a module cannot be imported."""
+    code = f"""
+import sys, warnings
+warnings.simplefilter("ignore")
+sys.modules[{missing!r}] = None
+import __spark_entry__ as contract
+names = contract.queries().keys()
+assert "size_histogram" in names and names == contract.oracle_sql().keys() and not contract._llm_queries()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(contract.__file__).parent)
+
+
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns == ["bin", "category", "records"]
