@@ -20,9 +20,9 @@ from rollcall.plans.staging import written
 
 SHARDS = 40
 SEED = 20240601
-#: Rows of a block or bin up to so many rows in all; beyond that they grow, not their number.
+#: Rows of a block or bin, where that makes more of them than cores and shards ask for.
 BLOCK_ROWS = 100_000
-#: Most blocks, and about the most bins: the drawn matrix has a cell for each pair.
+#: Most blocks, and about the most bins: the drawn matrix has a cell for each pair.  Beyond, they hold more rows.
 MOST_BLOCKS = 1024
 
 
@@ -57,7 +57,8 @@ def shuffle_into_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED,
     number = F.monotonically_increasing_id()
     numbered = written(rows.drop("shard", "slot").select(F.struct("*").alias("_own"), number.alias("_row")))
     total = numbered.count()
-    blocks = max(1, min(MOST_BLOCKS, math.ceil(total / block_rows)))
+    spark = rows.sparkSession
+    blocks = min(MOST_BLOCKS, max(2 * spark.sparkContext.defaultParallelism, math.ceil(total / block_rows)))
     bins_each = max(1, min(MOST_BLOCKS // shards, math.ceil(total / shards / block_rows)))
     block = F.pmod(_random(F.lit(seed), "_row"), F.lit(blocks)).cast("int")
     placed = numbered.withColumn("_block", block)
@@ -67,17 +68,12 @@ def shuffle_into_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED,
     sizes = [size for whole in _spread(total, shards) for size in _spread(whole, bins_each)]
     matrix = communication_matrix([counts.get(b, 0) for b in range(blocks)], sizes, seed)
 
-    # one row for each block and bin that exchange rows, with the ranks inside the block
-    spark = rows.sparkSession
+    # for each block the ranks inside it where a bin's rows end
     ends = matrix.cumsum(1)
-    ranges = F.array(*[F.array(*[F.lit(int(e)) for e in own]) for own in ends]) if ends.size <= 4096 else None
+    table = spark.createDataFrame([(b, own.tolist()) for b, own in enumerate(ends)], "_block int, _ends array<bigint>")
     in_block = Window.partitionBy("_block").orderBy(_random(F.lit(seed + 1), "_row"), "_row")
     ranked = placed.withColumn("_rank", F.row_number().over(in_block) - 1)
-    if ranges is None:
-        table = spark.createDataFrame([(b, own.tolist()) for b, own in enumerate(ends)], "_block int, _ends array<bigint>")
-        ranked = ranked.join(F.broadcast(table), "_block")  # MOST_BLOCKS rows
-    else:
-        ranked = ranked.withColumn("_ends", F.element_at(ranges, F.col("_block") + 1))
+    ranked = ranked.join(F.broadcast(table), "_block")  # MOST_BLOCKS rows
     binned = ranked.withColumn("_bin", F.size(F.filter("_ends", lambda end: end <= F.col("_rank"))))
 
     starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]

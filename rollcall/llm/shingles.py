@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 import numpy as np
+import xxhash
 
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-#: Bytes whose word hashes are worked out at a time.
-_BLOCK = 1 << 20
+#: What leaves the first bytes of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mixed(numbers: np.ndarray) -> np.ndarray:
@@ -24,21 +24,16 @@ def mixed(numbers: np.ndarray) -> np.ndarray:
 
 
 def _word_numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A number for each word ``data[start:end]``, from a polynomial in its bytes."""
-    out = np.empty(len(starts), np.uint64)
-    first = 0
-    while first < len(starts):
-        last = max(first + 1, int(np.searchsorted(ends, starts[first] + _BLOCK, "right")))
-        base, top = starts[first], ends[last - 1]
-        powers = np.full(top - base, _BASE)
-        powers[0] = 1
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data[base:top]] * np.multiply.accumulate(powers))])
-        inverse = np.full(top - base, np.uint64(pow(int(_BASE), -1, 1 << 64)))
-        inverse[0] = 1
-        inverse = np.multiply.accumulate(inverse)
-        a, b = starts[first:last] - base, ends[first:last] - base
-        out[first:last] = mixed((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
-        first = last
+    """A number for each word ``data[start:end]``: of a short one its bytes, of others a hash of them."""
+    lengths = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))  # the eight bytes from every place
+    own = eight[starts] & _FIRST[np.minimum(lengths, 8)]
+    out = mixed(own ^ mixed(lengths.astype(np.uint64)))
+    view = memoryview(data)
+    longer = np.flatnonzero(lengths > 8)
+    places = zip(starts[longer].tolist(), ends[longer].tolist())
+    out[longer] = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in places), np.uint64, len(longer))
     return out
 
 
@@ -54,7 +49,7 @@ def words(texts: Sequence[bytes | None], fold: bool = True) -> tuple[np.ndarray,
     before = np.concatenate([[True], space[:-1]])
     starts = np.flatnonzero(~space & before)
     ends = np.flatnonzero(space & ~before)
-    numbers = _word_numbers(_LOWER[data] if fold else data, starts, ends)
+    numbers = _word_numbers(_LOWER[data] if fold else np.ascontiguousarray(data), starts, ends)
     firsts = np.searchsorted(starts, offsets)
     base = np.repeat(offsets[:-1], np.diff(firsts))
     return numbers, starts - base, ends - base, firsts

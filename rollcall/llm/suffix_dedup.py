@@ -46,26 +46,18 @@ TASK_BYTES = 8 << 20
 _PIECE_BYTES = 1 << 19
 _BLOCK = 1 << 19
 _PLACE = np.uint64((1 << 21) - 1)
-_BYTES = np.random.default_rng(20240608).integers(1, 2**63, (2, 256), dtype=np.uint64)
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_BYTES = np.random.default_rng(20240608).integers(1, 2**63, 256, dtype=np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Sums:
-    """Hashes of any substring of ``data``, from running sums of a polynomial, in two ways."""
-
-    def __init__(self, data: np.ndarray):
-        self.sums, self.inverses = [], []
-        for base, table in zip(_BASES, _BYTES):
-            powers = np.full(len(data), base)
-            powers[:1] = 1
-            self.sums.append(np.concatenate([[np.uint64(0)], np.cumsum(table[data] * np.multiply.accumulate(powers))]))
-            inverse = np.full(len(data) + 1, np.uint64(pow(int(base), -1, 1 << 64)))
-            inverse[0] = 1
-            self.inverses.append(np.multiply.accumulate(inverse))
-
-    def of(self, way: int, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
-        sums = self.sums[way]
-        return mixed((sums[end] - sums[start]) * self.inverses[way][start])
+def _grams(data: np.ndarray, size: int) -> np.ndarray:
+    """A number for each substring of ``size`` bytes, from running sums of a polynomial; it only brings strings together."""
+    powers = np.full(len(data), _BASE)
+    powers[:1] = 1
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTES[data] * np.multiply.accumulate(powers))])
+    inverse = np.full(len(data) + 1 - size, np.uint64(pow(int(_BASE), -1, 1 << 64)))
+    inverse[0] = 1
+    return mixed((sums[size:] - sums[:-size]) * np.multiply.accumulate(inverse))
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -88,8 +80,7 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
     parts: list[tuple[np.ndarray, ...]] = []
     for low in range(0, max(0, len(data) - length + 1), _BLOCK):
         own = data[low : low + _BLOCK + length - 1]
-        sums = _Sums(own)
-        grams = sums.of(0, slice(0, len(own) - gram + 1), slice(gram, len(own) + 1))
+        grams = _grams(own, gram)
         # the first of equal grams counts, so equal strings have their anchor at the same place
         keys = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
         place = (_least(keys, length - gram + 1) & _PLACE).astype(np.int64)
@@ -101,10 +92,10 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
         first = np.flatnonzero(new)
         if len(first):
             count = np.add.reduceat(inside.astype(np.int64), first)
-            end = first + count + length - 1
-            parts.append(
-                (text[first], start[first] - offsets[text[first]], count, grams[place[first]], sums.of(0, first, end), sums.of(1, first, end))
-            )
+            view, ends = memoryview(own), (first + count + length - 1).tolist()
+            digests = b"".join(xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(first.tolist(), ends))
+            contents = np.frombuffer(digests, np.uint64).reshape(-1, 2)
+            parts.append((text[first], start[first] - offsets[text[first]], count, grams[place[first]], contents[:, 0], contents[:, 1]))
     if not parts:
         return tuple(np.empty(0, np.int64) for _ in range(6))
     return tuple(np.concatenate(columns) for columns in zip(*parts))
@@ -280,34 +271,48 @@ def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
+def _whole_characters(data: bytes, spans: list[tuple[int, int]]) -> tuple[str, int]:
+    """The text without the whole characters in the spans, and the bytes gone."""
+    whole = []
+    for a, b in spans:
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        whole.append((a, b))
+    return _kept(data, whole).decode(), sum(b - a for a, b in whole)
+
+
 def _with_found(documents: DataFrame, keyed: DataFrame, length: int, key: str, text: str) -> DataFrame:
     found = written(repeated_spans(documents, length, key, text))
     return keyed.join(found, ["h1", "h2"], "left")
 
 
 def removal_digests(documents: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row.
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, text`` for every row.
 
     Every byte in a string of ``length`` bytes that also starts anywhere else, in the
     same text or another, counts as removed; strings are judged on the texts as they
-    came.  A null text counts as empty, a shorter text keeps all; equal rows repeat
+    came.  The digest is of the bytes that are left; ``text`` is what is left where a character
+    goes only as a whole, null for a null text.  A null text counts as empty, a shorter text keeps all; equal rows repeat
     each other like any two texts.  An empty table gives an empty one.
     """
     keyed = _keyed(documents, key, text).select("doc_id", "h1", "h2", "text")
-    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string"
 
     def digested(batches):
         for piece in pieces(batches, "text"):
             rows = []
             for data, found in zip(piece.column("text").to_pylist(), piece.column("found").to_pylist()):
+                left = None if data is None else _whole_characters(data, _covered(len(data), found, length))[0]
                 data = data or b""
                 spans = _covered(len(data), found, length)
                 kept = _kept(data, spans)
-                rows.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
-            n_bytes, n_removed, n_spans, digest = map(list, zip(*rows))
+                rows.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), left))
+            n_bytes, n_removed, n_spans, digest, texts = map(list, zip(*rows))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), *(pa.array(c, pa.int64()) for c in (n_bytes, n_removed, n_spans)), pa.array(digest)],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                [piece.column("doc_id"), *(pa.array(c, pa.int64()) for c in (n_bytes, n_removed, n_spans)), pa.array(digest), pa.array(texts, pa.string())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"],
             )
 
     return _with_found(documents, keyed, length, key, text).mapInArrow(digested, schema)
@@ -329,14 +334,7 @@ def without_repeats(documents: DataFrame, length: int, key: str = "doc_id", text
         for piece in pieces(batches, "text"):
             kept = []
             for data, found in zip(piece.column("text").to_pylist(), piece.column("found").to_pylist()):
-                spans = []
-                for a, b in _covered(len(data or b""), found, length):
-                    while a < b and data[a] & 0xC0 == 0x80:
-                        a += 1
-                    while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
-                        b -= 1
-                    spans.append((a, b))
-                kept.append((None if data is None else _kept(data, spans).decode(), sum(b - a for a, b in spans)))
+                kept.append((None, 0) if data is None else _whole_characters(data, _covered(len(data), found, length)))
             texts, removed = map(list, zip(*kept))
             yield pa.RecordBatch.from_arrays(
                 [piece.column("others"), pa.array(texts, pa.string()), pa.array(removed, pa.int64())], names=["others", "text", "n_removed"]
@@ -354,7 +352,7 @@ def op1_suffix_dedup(spark, folder):
 # Repeats among all windows of 400 bytes, two hexadecimal digits a byte.
 OP1_SQL = """
 WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, coalesce(hex(encode(text)), '') AS h FROM documents
+  SELECT row_number() OVER () AS r, doc_id, text, coalesce(hex(encode(text)), '') AS h FROM documents
 ), windows AS (
   SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS w
   FROM (SELECT r, h, unnest(generate_series(0, len(h) // 2 - 400)) AS i FROM d WHERE len(h) >= 800)
@@ -366,14 +364,24 @@ WITH d AS (
   SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM marked
 ), runs AS (
   SELECT r, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY r, run
+), whole AS (  -- c, d: the span without bytes of characters that reach out of it; these begin with 80 to BF
+  SELECT r, a, b, a + CASE WHEN substr(h, 2 * a + 1, 1) NOT IN ('8', '9', 'A', 'B') THEN 0
+      WHEN substr(h, 2 * a + 3, 1) NOT IN ('8', '9', 'A', 'B') THEN 1
+      WHEN substr(h, 2 * a + 5, 1) NOT IN ('8', '9', 'A', 'B') THEN 2 ELSE 3 END AS c,
+    b - CASE WHEN substr(h, 2 * b + 1, 1) NOT IN ('8', '9', 'A', 'B') THEN 0
+      WHEN substr(h, 2 * b - 1, 1) NOT IN ('8', '9', 'A', 'B') THEN 1
+      WHEN substr(h, 2 * b - 3, 1) NOT IN ('8', '9', 'A', 'B') THEN 2 ELSE 3 END AS d
+  FROM runs JOIN d USING (r)
 ), parts AS (
-  SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM runs
+  SELECT *, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before, lag(d, 1, 0) OVER (PARTITION BY r ORDER BY a) AS so_far FROM whole
 ), cut AS (
   SELECT d.r, sum(b - a) AS gone, count(*) AS spans,
-    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept,
+    string_agg(substr(h, 2 * so_far + 1, 2 * (c - so_far)), '' ORDER BY a) || substr(any_value(h), 2 * max(parts.d) + 1) AS left_over
   FROM parts JOIN d USING (r) GROUP BY d.r
 )
 SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
-  CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+  CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256,
+  CASE WHEN left_over IS NULL THEN text ELSE decode(unhex(left_over)) END AS text
 FROM d LEFT JOIN cut USING (r)
 """

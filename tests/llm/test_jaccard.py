@@ -78,14 +78,35 @@ def test_linked_sets_share_a_prefix_entry(percent):
         assert entries[0] & entries[1]
 
 
-def test_words_are_found_in_any_block(monkeypatch):
-    texts = [b"A bc\tdef  g", None, b"", b"  ", "Äß bc".encode(), b"x" * 50 + b" bc"]
-    whole = words(texts)
-    monkeypatch.setattr("rollcall.llm.shingles._BLOCK", 4)
-    for a, b in zip(whole, words(texts)):
-        assert a.tolist() == b.tolist()
-    assert np.diff(whole[3]).tolist() == [4, 0, 0, 0, 2, 2]
-    assert whole[0][1] == whole[0][5] == whole[0][7]
+def test_word_numbers_depend_on_the_bytes_alone():
+    """Words of every length, with zero bytes as well, get different numbers, the same in any surroundings."""
+    draw = random.Random(3)
+    own = {"".join(draw.choice("ab\x00é") for _ in range(draw.randrange(1, 14))) for _ in range(4000)}
+    own |= {"a" * n for n in range(1, 60)} | {"a" + "\x00" * n for n in range(1, 60)}
+    texts = [" ".join(own), *own, "x " + "\t".join(reversed(list(own)))]
+    numbers, _, _, firsts = words([t.encode() for t in texts])
+    whole = numbers[firsts[0] : firsts[1]]
+    assert len(np.unique(whole)) == len(own)
+    assert numbers[firsts[1] : firsts[len(own) + 1]].tolist() == whole.tolist()
+    assert numbers[firsts[len(own) + 1] + 1 :].tolist() == whole[::-1].tolist()
+
+
+def test_words_are_found():
+    numbers, starts, ends, firsts = words([b"A bc\tdef  g", None, b"", b"  ", "Äß bc".encode(), b"x" * 50 + b" bc"])
+    assert np.diff(firsts).tolist() == [4, 0, 0, 0, 2, 2]
+    assert numbers[1] == numbers[5] == numbers[7] and len(set(numbers.tolist())) == 6
+    assert list(zip(starts.tolist(), ends.tolist()))[:4] == [(0, 1), (2, 4), (5, 8), (10, 11)]
+
+
+def test_words_made_to_fool_running_sums(spark, rows):
+    """A doubling pattern and its complement agree in any sum of powers modulo 2 ** 64; they are two words all the same."""
+    pattern = "a"
+    for _ in range(10):
+        pattern += pattern.translate({97: "b", 98: "a"})
+    other = pattern.translate({97: "b", 98: "a"})
+    prose = [(1, f"x {pattern} y"), (2, f"x {other} y")]
+    found = jaccard_join.jaccard_classes(spark.createDataFrame(prose, "doc_id bigint, text string"), 90, 3)
+    assert rows(found) == [(1, 1, 1, 0), (2, 1, 2, 0)]
 
 
 def test_sets_are_distinct_and_sorted():

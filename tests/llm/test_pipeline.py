@@ -9,6 +9,8 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from rollcall.llm import byte_bpe
 from rollcall.plans.staging import written
@@ -117,6 +119,30 @@ def test_tokens(steps):
     assert sorted(after, key=repr) == sorted(expected, key=repr)
 
 
+NAMES = "score n_removed _number number lang_pred ambiguous others found repeated row h1 _c0 n".split()
+
+
+def test_columns_named_like_the_operators_own(spark, tables):
+    """They come out of every stage as they went in, and so do rows of a table without ``n_chars``."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet").drop("n_chars")
+    wide = docs.select("*", *[F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")).alias(name) for name in NAMES])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain, after = stage(spark, docs, tables).collect(), stage(spark, wide, tables)
+        assert after.schema.simpleString() == wide.schema.simpleString()
+        found = [r for r in after.collect()]
+        assert sorted((tuple(r) for r in plain), key=repr) == sorted((tuple(r)[: len(docs.columns)] for r in found), key=repr)
+        assert all(r[name] == (None if r["doc_id"] is None else f"{name} {r['doc_id']}") for r in found for name in NAMES)
+
+
+def test_stages_of_empty_tables(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, docs, tables)
+        assert after.count() == 0
+        if name != "byte-level BPE":
+            assert after.schema.simpleString() == docs.schema.simpleString()
+
+
 def test_run_is_the_stages_in_order(spark, tables, steps):
     assert sorted(map(tuple, corpus_pipeline.run(spark, tables).collect()), key=repr) == sorted(steps["byte-level BPE"][1], key=repr)
     assert corpus_pipeline.ORACLE_SQL is None

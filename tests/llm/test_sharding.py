@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -45,7 +46,19 @@ def test_shards_are_uniform(spark):
 def test_query(spark):
     found = op6_sharding(spark, "/root/testdata/sf0.01")
     assert found.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
-    assert found.count() == 1000
+    texts = dict(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect())
+    rows = found.collect()
+    encoded = {k: (text or "").encode() for k, text in texts.items()}
+    assert {r.doc_id: (r.size, r.text_crc32, r.law, r.grown_shard) for r in rows} == {
+        k: (len(data) + 16, zlib.crc32(data), "rows", None) for k, data in encoded.items()
+    }
+    assert sorted((r.shard, r.slot) for r in rows) == [(shard, slot) for shard in range(40) for slot in range(25)]
+
+
+@pytest.mark.parametrize("count", [10, 10_000])
+def test_the_steps_are_the_same_at_all_sizes(spark, count):
+    plan = shuffle_into_shards(spark.range(count))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [row_number") == 2 and plan.count("BroadcastHashJoin") == 1
 
 
 def test_empty_table_and_bad_count(no_documents):
