@@ -1,6 +1,8 @@
 """Benchmark items in documents, exact or edited (operator 8).
 
-Runs of a few words, the seeds, are looked for in every text.  Where one turns up,
+Four words in a row, or with gaps of one or two between, are a seed: of an item's copy
+in which up to a third of the words were exchanged, hardly any lacks all of them, short
+items included.  The seeds of the benchmark are looked for in every text.  Where one turns up,
 the words around it that an item's copy could take are kept as a passage.  Every
 seed joins the passages and items that hold it; alignment of the passage with the
 item, word by word, then scores what they share.  Equal passages are aligned once.
@@ -21,11 +23,14 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.batches import pieces
 from rollcall.llm.groups import sorted_groups
-from rollcall.llm.shingles import runs, words
+from rollcall.llm.shingles import mixed, runs, words
 from rollcall.plans.staging import written
 
-#: Words of a seed.
+#: Words of a seed, and where they stand beside words in a row.
 SEED_WORDS = 4
+GAPPED = ((0, 1, 3, 4), (0, 2, 3, 4), (0, 1, 2, 4), (0, 1, 3, 5), (0, 1, 4, 5))
+#: Words that a seed reaches over at most.
+SPAN = 6
 #: Seeds that tasks hold at a time, at 16 bytes each.
 SLICE = 1 << 20
 #: What an item's copy scores for a shared word, an exchanged one, an added or missing one.
@@ -50,11 +55,26 @@ def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
     return best, end
 
 
+def seeds_of(numbers: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number, text and first word of every seed, by text; a text of fewer words has one, the whole of it."""
+    parts = [runs(numbers, firsts, SEED_WORDS)]
+    text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+    left = firsts[1:][text] - np.arange(len(numbers))
+    shares = [mixed(numbers + np.uint64(1000 + k)) for k in range(SEED_WORDS)]
+    for kind, places in enumerate(GAPPED, 1):
+        at = np.flatnonzero(left > places[-1])
+        total = sum((share[at + place] for share, place in zip(shares, places)), np.uint64(kind))
+        parts.append((mixed(total), text[at], at))
+    found, text, at = (np.concatenate(columns) for columns in zip(*parts))
+    order = np.argsort(text, kind="stable")
+    return found[order], text[order], at[order]
+
+
 def _seeds(batches):
     """``(item, item_id, words, seeds)`` of the items that have words."""
     for piece in pieces(batches, "text", _PIECE_BYTES):
         numbers, _, _, firsts = words(piece.column("text").to_pylist())
-        found, text, _ = runs(numbers, firsts, SEED_WORDS)
+        found, text, _ = seeds_of(numbers, firsts)
         bounds = np.searchsorted(text, np.arange(len(firsts)))
         lists = [
             pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(own.astype(np.int64)))
@@ -67,13 +87,13 @@ def _passages(batches, seeds: np.ndarray, reach: np.ndarray):
     """``(doc_id, own1, own2, at, words, seeds)`` of the passages around seeds; ``seeds`` is sorted, ``reach`` in words."""
     for piece in pieces(batches, "text", _PIECE_BYTES):
         numbers, _, _, firsts = words(piece.column("text").to_pylist())
-        found, text, at = runs(numbers, firsts, SEED_WORDS)
+        found, text, at = seeds_of(numbers, firsts)
         place = np.minimum(np.searchsorted(seeds, found), len(seeds) - 1)
         hit = np.flatnonzero(seeds[place] == found)
         if not len(hit):
             continue
         text, at, near = text[hit], at[hit], reach[place[hit]]
-        low, high = np.maximum(at - near, firsts[text]), np.minimum(at + SEED_WORDS + near, firsts[text + 1])
+        low, high = np.maximum(at - near, firsts[text]), np.minimum(at + SPAN + near, firsts[text + 1])
         order = np.argsort(low, kind="stable")
         low, high, text, own = low[order], high[order], text[order], found[hit][order]
         furthest = np.maximum.accumulate(high)

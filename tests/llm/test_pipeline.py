@@ -16,7 +16,7 @@ from rollcall.llm import byte_bpe
 from rollcall.plans.staging import written
 
 from test_jaccard import classes, shingles
-from test_leaks import best, split
+from test_leaks import best, seeds, split
 from test_repeats import covered
 
 FOLDER = "/root/testdata/sf0.01"
@@ -96,11 +96,11 @@ def test_repeats(steps):
 def test_decontamination(steps, spark):
     before, after = steps["benchmark decontamination"]
     items = [split(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
-    runs = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in items]
+    runs = [seeds(w) for w in items]
     expected = []
     for row in before:
         words = split(row[1])
-        own = {tuple(words[k : k + 4]) for k in range(len(words) - 3)}
+        own = seeds(words)
         if not any(own & run and best(item, words) >= 0.5 * len(item) for item, run in zip(items, runs)):
             expected.append(row)
     assert sorted(after, key=repr) == sorted(expected, key=repr)
