@@ -1,8 +1,8 @@
 """Benchmark items in documents, exact or edited (operator 8).
 
-Four words in a row, or with gaps of one or two between, are a seed: of an item's copy
-in which up to a third of the words were exchanged, hardly any lacks all of them, short
-items included.  The seeds of the benchmark are looked for in every text.  Where one turns up,
+Four words in a row, or with gaps of one or two between, are a seed, for short items
+also three: of an item's copies in which up to a third of the words were exchanged, hardly
+any lacks all of them.  The seeds of the benchmark are looked for in every text.  Where one turns up,
 the words around it that an item's copy could take are kept as a passage.  Every
 seed joins the passages and items that hold it; alignment of the passage with the
 item, word by word, then scores what they share.  Equal passages are aligned once.
@@ -29,6 +29,8 @@ from rollcall.plans.staging import written
 #: Words of a seed, and where they stand beside words in a row.
 SEED_WORDS = 4
 GAPPED = ((0, 1, 3, 4), (0, 2, 3, 4), (0, 1, 2, 4), (0, 1, 3, 5), (0, 1, 4, 5))
+#: Seeds of three words, of items that have fewer than ``SHORT`` words.
+BRIEF, SHORT = ((0, 1, 2), (0, 1, 3), (0, 2, 3)), 16
 #: Words that a seed reaches over at most.
 SPAN = 6
 #: Seeds that tasks hold at a time, at 16 bytes each.
@@ -55,26 +57,32 @@ def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
     return best, end
 
 
-def seeds_of(numbers: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Number, text and first word of every seed, by text; a text of fewer words has one, the whole of it."""
-    parts = [runs(numbers, firsts, SEED_WORDS)]
+def seeds_of(numbers: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number, text, first word of every seed, and whether it has three words only; by text.
+
+    A text of fewer than four words has one more seed, the whole of it.
+    """
+    found, text, at = runs(numbers, firsts, SEED_WORDS)
+    parts = [(found, text, at, np.zeros(len(found), bool))]
     text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
     left = firsts[1:][text] - np.arange(len(numbers))
     shares = [mixed(numbers + np.uint64(1000 + k)) for k in range(SEED_WORDS)]
-    for kind, places in enumerate(GAPPED, 1):
+    for kind, places in enumerate(GAPPED + BRIEF, 1):
         at = np.flatnonzero(left > places[-1])
         total = sum((share[at + place] for share, place in zip(shares, places)), np.uint64(kind))
-        parts.append((mixed(total), text[at], at))
-    found, text, at = (np.concatenate(columns) for columns in zip(*parts))
+        parts.append((mixed(total), text[at], at, np.full(len(at), places in BRIEF)))
+    found, text, at, brief = (np.concatenate(columns) for columns in zip(*parts))
     order = np.argsort(text, kind="stable")
-    return found[order], text[order], at[order]
+    return found[order], text[order], at[order], brief[order]
 
 
 def _seeds(batches):
     """``(item, item_id, words, seeds)`` of the items that have words."""
     for piece in pieces(batches, "text", _PIECE_BYTES):
         numbers, _, _, firsts = words(piece.column("text").to_pylist())
-        found, text, _ = seeds_of(numbers, firsts)
+        found, text, _, brief = seeds_of(numbers, firsts)
+        own = ~brief | (np.diff(firsts)[text] < SHORT)
+        found, text = found[own], text[own]
         bounds = np.searchsorted(text, np.arange(len(firsts)))
         lists = [
             pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(own.astype(np.int64)))
@@ -87,7 +95,7 @@ def _passages(batches, seeds: np.ndarray, reach: np.ndarray):
     """``(doc_id, own1, own2, at, words, seeds)`` of the passages around seeds; ``seeds`` is sorted, ``reach`` in words."""
     for piece in pieces(batches, "text", _PIECE_BYTES):
         numbers, _, _, firsts = words(piece.column("text").to_pylist())
-        found, text, at = seeds_of(numbers, firsts)
+        found, text, at, _ = seeds_of(numbers, firsts)
         place = np.minimum(np.searchsorted(seeds, found), len(seeds) - 1)
         hit = np.flatnonzero(seeds[place] == found)
         if not len(hit):
@@ -167,7 +175,7 @@ def leaked_items(
     least ``threshold`` and at most 1, ``n_seeds`` the seeds shared there, ``end_word``
     the word of the document after it.  Words are what ASCII blanks part, A-Z
     lower-cased.  A pair of ids has one row, the best of any equal ids.  Null or empty
-    texts hold nothing and are held nowhere; an item shorter than a seed is found only
+    texts hold nothing and are held nowhere; an item of one or two words is found only
     where it is a whole text.  Empty tables give an empty one.
     """
     spark = documents.sparkSession
