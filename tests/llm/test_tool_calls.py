@@ -6,8 +6,9 @@ import json
 import random
 
 from oracle import compare, connect
+from pyspark.sql import functions as F
 
-from rollcall.llm.tool_calls import OP9_SQL, link_tool_calls, op9_tool_calls
+from rollcall.llm.tool_calls import OP9_SQL, REPLY, Maybe, link_tool_calls, op9_tool_calls, turns_as_calls
 
 FOLDER = "/root/testdata/sf0.01"
 CALLS = "conv_id int, call_id string, after string, name string, arguments string, turn int, depth string"
@@ -95,3 +96,38 @@ def test_json_and_problems(spark):
 
 def test_empty_tables(spark):
     assert linked(spark, [], []).count() == 0
+
+
+def test_nested_schemas(spark):
+    schemas = {"t": {"at": {"x": "NUMBER", "to": Maybe({"y": "STRING"})}, "tags": [{"red", "blue"}], "rows": Maybe([["BIGINT"]])}}
+    texts = {
+        '{"at":{"x":1.5},"tags":[]}': [],
+        '{"at":{"x":2,"to":{"y":"k"}},"tags":["red","blue","red"],"rows":[[1],[],[2,3]]}': [],
+        '{"at":{"x":"1","to":{"z":1}},"tags":["red","green",3]}': [
+            "at.x is not NUMBER", "at.to.y is missing", "at.to.z is unknown", "tags[1] is none of blue, red", "tags[2] is none of blue, red",
+        ],
+        '{"at":[1],"tags":{"k":1},"rows":[[1],2,["k",4]]}': ["at is not OBJECT", "tags is not ARRAY", "rows[1] is not ARRAY", "rows[2][0] is not BIGINT"],
+        '{"at":null,"rows":null}': ["at is not OBJECT", "tags is missing", "rows is not ARRAY"],
+    }
+    calls = spark.createDataFrame([(1, f"c{k}", None, "t", text, k, "x") for k, text in enumerate(texts)], CALLS)
+    found = link_tool_calls(calls, spark.createDataFrame([], RESULTS), schemas).collect()
+    assert {r.turn: r.problems for r in found} == dict(enumerate(texts.values()))
+
+
+def test_turns_of_every_role(spark, tmp_path):
+    long = "é " * 300_000
+    rows = [
+        (1, 0, "system", "first"), (1, 1, "system", "second"), (1, 2, "user", long), (1, 3, "assistant", None), (1, 4, "user", ""),
+        (2, 0, "user", None), (2, 1, "tool", "t"), (2, 2, None, None), (2, 0, "system", None), (3, 0, "assistant", "alone"),
+        (3, 1, "other", "x"), (3, 1, "other", "x"),
+    ]
+    turns = spark.createDataFrame([(*row, "k") for row in rows], "conv_id long, turn long, role string, text string, system string")
+    turns.write.parquet(f"{tmp_path}/conversations.parquet")
+    connection = connect(FOLDER)
+    connection.execute(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert compare(op9_tool_calls(spark, str(tmp_path)), connection, OP9_SQL) == len(rows)
+    nobody = turns.withColumn("conv_id", F.lit(None).cast("long"))
+    calls, results, others = turns_as_calls(nobody)
+    assert link_tool_calls(calls, results, REPLY, others).count() == len(rows)
+    calls, results, others = turns_as_calls(turns.limit(0))
+    assert link_tool_calls(calls, results, REPLY, others).count() == 0
