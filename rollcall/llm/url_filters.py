@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm.components import connected_components
 from rollcall.plans.staging import written
 
-#: Rules as (host, path, verdict), a rule being written as host and path in a row.
+#: Rules as (host, path, verdict), a rule being written as host and path in a row; a list of them or a table.
+Rules = Sequence[tuple[str, str, str]] | DataFrame
 RULES = (
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -24,8 +25,6 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-#: Rules stand in the plan as a literal; a longer list should be a joined table.
-MOST_RULES = 10_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _TAGS = r"(?is)<(?:link|meta)\s[^<>]*>"
 _CANONICAL = r"(?is)\srel\s*=\s*[\"']?[^\"'<>]*\bcanonical\b"
@@ -51,21 +50,37 @@ def path_of(url: Column | str) -> Column:
     return F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
-    """``struct(rule, verdict)`` of the longest rule that fits; the longer host, then allow, among equals."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    fields = "array<struct<host:string,path:string,verdict:string>>"
-    if not rules:
-        return F.lit(None).cast("struct<rule:string,verdict:string>")
-    ordered = sorted(rules, key=lambda r: (-len(r[0]) - len(r[1]), -len(r[0]), r[2], r))
-    table = F.array(*[F.struct(*map(F.lit, rule)) for rule in ordered]).cast(fields)
-    fits = F.filter(
-        table,
-        lambda r: ((host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"]))) & F.startswith(path, r["path"]),
-    )
-    best = F.get(fits, 0)
-    return F.when(best.isNotNull(), F.struct(F.concat(best["host"], best["path"]).alias("rule"), best["verdict"].alias("verdict")))
+def rule_table(spark: SparkSession, rules: Rules) -> DataFrame:
+    """``(host, path, verdict)``, written, so that its size is known; rules with a null are none."""
+    if not isinstance(rules, DataFrame):
+        fields = "array<struct<host:string,path:string,verdict:string>>"
+        listed = F.array(*[F.struct(*map(F.lit, rule)) for rule in rules]).cast(fields)
+        rules = spark.range(1).select(F.inline(listed))
+    rules = rules.select(*[F.col(name).cast("string") for name in ("host", "path", "verdict")]).dropna()
+    return written(rules.groupBy("host", "path").agg(F.min("verdict").alias("verdict")))
+
+
+def fitting_rules(addresses: DataFrame, rules: DataFrame) -> DataFrame:
+    """``host, path, rule, verdict`` of the distinct addresses that a rule of :func:`rule_table` fits.
+
+    The longest rule counts, then the one with the longer host, then allow.  A host meets
+    the rules of its own suffixes, of at most as many labels as a rule has, and the path
+    is cut to the lengths that the suffix's rules have: equality joins alone, whose rows
+    do not grow with the number of rules of a host, only with their different lengths.
+    """
+    labels = F.split("host", r"\.")
+    most = rules.agg(F.max(F.size(labels)).alias("most")).first().most or 1
+    from_label = F.sequence(F.greatest(F.lit(1), F.size(labels) - (most - 1)), F.size(labels))
+    suffixes = F.transform(from_label, lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    asked = addresses.select("host", "path").distinct().select("host", "path", F.explode(suffixes).alias("suffix"))
+    lengths = written(rules.select(F.col("host").alias("suffix"), F.length("path").alias("length")).distinct())
+    cut = asked.join(lengths, "suffix").filter(F.col("length") <= F.length("path"))
+    cut = cut.select("host", "path", "suffix", F.expr("substring(path, 1, length)").alias("start"))
+    whole = rules.select(F.col("host").alias("suffix"), F.col("path").alias("start"), "verdict")
+    rule = F.concat("suffix", "start")
+    order = F.struct((-F.length(rule)).alias("length"), (-F.length("suffix")).alias("host_length"), "verdict", rule.alias("rule"))
+    best = cut.join(whole, ["suffix", "start"]).groupBy("host", "path").agg(F.min(order).alias("best"))
+    return best.select("host", "path", "best.rule", "best.verdict")
 
 
 def address_node(url: Column | str) -> Column:
@@ -111,35 +126,36 @@ def alias_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
 def judge(
     pages: DataFrame,
     links: DataFrame,
-    rules: Sequence[tuple[str, str, str]] = RULES,
+    rules: Rules = RULES,
     key: str = "page_id",
     url: str = "url",
 ) -> DataFrame:
     """``key``, ``host``, ``path``, ``rule`` and ``verdict`` for every row of ``pages``.
 
-    ``links`` holds ``(source, target)`` addresses; either may be on no page.  A null
-    address, or one without ``://``, has an empty host and path, fits no rule and has
-    no alias: it is allowed.  Rows may repeat; only the named columns are read.
+    ``links`` holds ``(source, target)`` addresses; either may be on no page.  ``rules`` is
+    a list of ``(host, path, verdict)`` or a table with these columns, of any length.  A
+    null address, or one without ``://``, has an empty host and path, fits no rule and has
+    no alias: it is allowed.  Rows may repeat; only the named columns are read.  An empty
+    table gives an empty one; without rules all is allowed.
     """
+    table = rule_table(pages.sparkSession, rules)
     addresses = pages.select(F.col(key), F.col(url).cast("string").alias("_url"))
-    fit = fitting_rule(host_of("_url"), path_of("_url"), rules)
     judged = addresses.select(
-        key, host_of("_url").alias("host"), path_of("_url").alias("path"), address_node("_url").alias("_node"), fit.alias("_fit")
+        key, host_of("_url").alias("host"), path_of("_url").alias("path"), address_node("_url").alias("_node")
     )
+    # both written, so that the joins with the pages have plain exchanges, which Spark can split at a hot address
+    fits = written(fitting_rules(judged, table).select("host", "path", "rule", F.col("verdict").alias("_verdict")))
     ties = links.select(address_node("source").alias("u"), address_node("target").alias("v"))
     classes = connected_components(written(ties), "u", "v")
-    host = F.regexp_extract("node", r"^[^/?]*", 0)
-    verdict = fitting_rule(host, F.regexp_extract("node", r"^[^/?]*([^?]*)", 1), rules)["verdict"]
+    host = F.regexp_extract("node", r"^[^/?]*", 0).alias("host")
+    members = written(classes.select("node", "component", host, F.regexp_extract("node", r"^[^/?]*([^?]*)", 1).alias("path")))
+    known = members.join(fitting_rules(members, table), ["host", "path"])
     # the least verdict of a class is block only if none is allow
-    sides = classes.groupBy("component").agg(F.min(verdict).alias("least"))
-    refused = classes.join(sides.filter("least = 'block'").select("component"), "component", "left_semi")
-    refused = refused.select(F.col("node").alias("_node"), F.lit("block").alias("_alias"))
-    return judged.join(refused, "_node", "left").select(
-        key,
-        "host",
-        "path",
-        F.col("_fit.rule").alias("rule"),
-        F.coalesce(F.col("_fit.verdict"), F.col("_alias"), F.lit("allow")).alias("verdict"),
+    sides = known.groupBy("component").agg(F.min("verdict").alias("least"))
+    refused = members.join(sides.filter("least = 'block'").select("component"), "component", "left_semi")
+    refused = written(refused.select(F.col("node").alias("_node"), F.lit("block").alias("_alias")))
+    return judged.join(fits, ["host", "path"], "left").join(refused, "_node", "left").select(
+        key, "host", "path", "rule", F.coalesce("_verdict", "_alias", F.lit("allow")).alias("verdict")
     )
 
 

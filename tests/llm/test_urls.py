@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 import re
 
-import pytest
 from oracle import compare, connect
 
 from rollcall.llm import url_filters
@@ -23,8 +22,9 @@ def parts(url):
 
 
 def rule(host, path, rules):
-    fits = [(len(h) + len(p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
-    return max(fits)[1:] if fits else (None, None)
+    """The longest rule that fits; the longer host, then allow, among equals."""
+    fits = [(-len(h) - len(p), -len(h), v, h + p) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return min(fits)[:1:-1] if fits else (None, None)
 
 
 def expected(pages, links, rules=RULES):
@@ -96,10 +96,31 @@ def test_allow_comes_before_block_in_a_class(spark, rows):
     assert one([*links, ("http://n.net/es/", "http://x.com/")]) == ["allow", "allow", "block"]
 
 
-def test_empty_tables_and_many_rules(spark):
+def test_empty_tables(spark):
     pages = spark.createDataFrame([], "page_id int, url string, html string")
     assert judge(pages, alias_links(pages)).count() == 0
     one = spark.createDataFrame([(1, "http://a.org", None)], "page_id int, url string, html string")
     assert judge(one, alias_links(one), rules=()).first().verdict == "allow"
-    with pytest.raises(ValueError):
-        judge(one, alias_links(one), rules=[("a", "/", "allow")] * (url_filters.MOST_RULES + 1))
+
+
+def test_random_rules(spark, rows):
+    draw = random.Random(8)
+    host = lambda: ".".join(draw.choices(["a", "b", "é", ""], k=draw.randrange(1, 5)))
+    path = lambda: "".join(draw.choices(["/", "a", "é"], k=draw.randrange(5)))
+    rules = [(host(), path(), draw.choice(["allow", "block"])) for _ in range(60)]
+    pages = [(k, f"http://{host()}/{path()}") for k in range(200)] + [(-1, None), (-1, "x")]
+    best = {(h, p): min(v for a, b, v in rules if (a, b) == (h, p)) for h, p, _ in rules}
+    nothing = spark.createDataFrame([], "source string, target string")
+    found = judge(spark.createDataFrame(pages, "page_id int, url string"), nothing, rules)
+    assert rows(found) == expected(pages, [], [(*k, v) for k, v in best.items()])
+
+
+def test_many_rules_of_one_host(spark):
+    """A table of rules of any length: what meets a page are their different lengths, not the rules."""
+    rules = spark.range(30_000).selectExpr("'example.com' AS host", "concat('/', id) AS path", "if(id % 2 = 0, 'block', 'allow') AS verdict")
+    pages = spark.range(30_000).selectExpr("id AS page_id", "concat('https://www.example.com/', id, '/x') AS url")
+    wrong = judge(pages, spark.createDataFrame([], "source string, target string"), rules)
+    wrong = wrong.filter("verdict <> if(page_id % 2 = 0, 'block', 'allow') OR rule <> concat('example.com/', page_id) OR rule IS NULL")
+    assert wrong.count() == 0
+    lengths = url_filters.fitting_rules(pages.selectExpr("'example.com' AS host", "concat('/', page_id) AS path"), url_filters.rule_table(spark, rules))
+    assert lengths.count() == 30_000
