@@ -14,8 +14,11 @@ so they travel together as one *stretch*.
    number of bytes at a time, and threshold-bounded interval expansion over the
    Burrows-Wheeler transform tells which of their strings occur twice.
 4. An anchor with very many distinct stretches (where one passage runs into
-   thousands of different texts) would be a hot group.  Its strings are counted by
-   128-bit hashes, which partial aggregation spreads over all tasks.
+   thousands of different texts) would be a hot group.  It is split by the bytes next
+   to it: its strings fall into classes by the anchor's place in them, those of a class
+   share a stretch of bytes around the anchor that all of them hold, and these bytes
+   are the anchor of the parts.  Parts go through steps 2 to 4 with classes half as wide,
+   so after a few rounds a class has one place, where strings with one anchor are equal.
 
 Every task's memory is bounded by its own rows; nothing is dropped on the way.
 """
@@ -37,12 +40,12 @@ from rollcall.llm.suffixes import repeated_windows
 from rollcall.plans.staging import discard, written
 
 GRAM = 32
-#: Distinct stretches of an anchor that are put in suffix order together.
-HOT = 4096
+#: Distinct stretches of an anchor that are put in suffix order together, about as many as fill a chunk.
+HOT = 1024
 #: Bytes put in suffix order at a time, unless one anchor has more.
 CHUNK_BYTES = 3 << 18
-#: Bytes of stretches for each task.
-TASK_BYTES = 8 << 20
+#: Bytes of stretches for each task; beyond so many tasks they are larger, and go through in chunks all the same.
+TASK_BYTES, MOST_TASKS = 8 << 20, 1 << 16
 _PIECE_BYTES = 1 << 19
 _BLOCK = 1 << 19
 _PLACE = np.uint64((1 << 21) - 1)
@@ -133,6 +136,49 @@ def _cut(batches, length: int) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _place(content: bytes, length: int) -> int:
+    """Where the anchor of a stretch's strings begins in it."""
+    grams = _grams(np.frombuffer(content[:length], np.uint8), min(GRAM, length))
+    return int(np.argmin(grams & ~_PLACE))
+
+
+def parts_of(content: bytes, place: int, length: int, width: int) -> Iterator[tuple[int, bytes, int, int]]:
+    """Parts of a stretch whose anchor begins at ``place``: class, bytes around the anchor, first string, number of strings.
+
+    A class holds the strings that have from ``k * width`` to ``(k + 1) * width - 1`` bytes
+    before the anchor.  All of these hold ``k * width`` bytes before it, and behind it what
+    is left to the string with the most bytes before it.
+    """
+    gram = min(GRAM, length)
+    least, most = place - (len(content) - length), place
+    for k in range(least // width, most // width + 1):
+        behind = max(0, length - gram - (k + 1) * width + 1)
+        low, high = max(least, k * width), min(most, (k + 1) * width - 1)
+        yield k, content[place - k * width : place + gram + behind], place - high, high - low + 1
+
+
+_ROOT = "r0 bigint, r1 bigint, r2 bigint, shift int"
+_PART = f"anchor bigint, c1 bigint, c2 bigint, weight bigint, {_ROOT}, place int, content binary"
+_PART_TYPES = (*[pa.int64()] * 7, pa.int32(), pa.int32(), pa.binary())
+
+
+def _split(batches, length: int, width: int) -> Iterator[pa.RecordBatch]:
+    """The parts of hot stretches; those of a stretch with copies name no root, since all its strings are known."""
+    names = [f.split()[0] for f in _PART.split(", ")]
+    for piece in pieces(batches, "content", _PIECE_BYTES):
+        rows = []
+        columns = [piece.column(c).to_pylist() for c in ("weight", "r0", "r1", "r2", "shift", "place", "content")]
+        for weight, r0, r1, r2, shift, place, content in zip(*columns):
+            place = _place(content, length) if place is None else place
+            for k, around, first, count in parts_of(content, place, length, width):
+                own = content[first : first + count + length - 1]
+                anchor = xxhash.xxh3_64_intdigest(around, seed=width << 32 | k)
+                named = np.array([anchor], np.uint64).view(np.int64).tolist() + np.frombuffer(xxhash.xxh3_128_digest(own), np.int64).tolist()
+                root = (r0, r1, r2, shift + first) if weight == 1 else (None, None, None, None)
+                rows.append((*named, weight, *root, place - first, own))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _PART_TYPES)], names=names)
+
+
 def _spans(repeated: np.ndarray) -> list[int]:
     """First and last-but-one index of every run of true values, in a row."""
     edges = np.flatnonzero(np.diff(np.concatenate([[False], repeated, [False]]).astype(np.int8)))
@@ -149,10 +195,10 @@ def _ordered(batches, length: int) -> Iterator[pa.RecordBatch]:
 
     def flush():
         rows = []
-        strings = [row[4] for row in held]
-        for row, repeated in zip(held, repeated_windows(strings, length)):
-            if row[3] == 1 and repeated.any():
-                rows.append((row[0], row[1], row[2], _spans(repeated)))
+        strings = [row[-1] for row in held]
+        for (_, weight, *root, shift, _), repeated in zip(held, repeated_windows(strings, length)):
+            if weight == 1 and repeated.any():
+                rows.append((*root, [shift + k for k in _spans(repeated)]))
         held.clear()
         return rows
 
@@ -161,39 +207,51 @@ def _ordered(batches, length: int) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["anchor", "c1", "c2", "spans"])
 
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("anchor", "c1", "c2", "weight", "content")]
+        columns = [batch.column(c).to_pylist() for c in ("anchor", "weight", "r0", "r1", "r2", "shift", "content")]
         for row in zip(*columns):
             if size >= CHUNK_BYTES and held[-1][0] != row[0]:
                 if rows := flush():
                     yield batch_of(rows)
                 size = 0
             held.append(row)
-            size += len(row[4]) + 1
+            size += len(row[-1]) + 1
     if held and (rows := flush()):
         yield batch_of(rows)
 
 
-_WINDOW = "anchor bigint, c1 bigint, c2 bigint, weight bigint, place int, w1 bigint, w2 bigint"
-
-
-def _windows(batches, length: int) -> Iterator[pa.RecordBatch]:
-    """128-bit hashes of every string of hot stretches."""
-    names = [f.split()[0] for f in _WINDOW.split(", ")]
-    for piece in pieces(batches, "content", _PIECE_BYTES // 64):
-        contents = piece.column("content").to_pylist()
-        digests = b"".join(
-            xxhash.xxh3_128_digest(view[k : k + length])
-            for content in contents
-            for view in [memoryview(content)]
-            for k in range(len(content) - length + 1)
-        )
-        counts = np.array([len(c) - length + 1 for c in contents])
-        row = np.repeat(np.arange(len(contents)), counts)
-        place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        hashes = np.frombuffer(digests, np.int64).reshape(-1, 2)
-        named = piece.select(["anchor", "c1", "c2", "weight"]).take(pa.array(row))
-        columns = [pa.array(place, pa.int32()), pa.array(hashes[:, 0]), pa.array(hashes[:, 1])]
-        yield pa.RecordBatch.from_arrays([*named.columns, *columns], names=names)
+def _in_order(contents: DataFrame, length: int) -> DataFrame:
+    """Repeats among the strings of each anchor that is not hot."""
+    cool = contents.filter("not hot")
+    size = cool.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    tasks = min(1 + size // TASK_BYTES, MOST_TASKS)
+    return cool.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(lambda b: _ordered(b, length), _FOUND)
+
+
+def _hot_repeats(contents: DataFrame, length: int) -> list[DataFrame]:
+    """Repeats in the stretches of hot anchors, in rounds of parts with classes half as wide."""
+    out = []
+    width = 1 << (length - min(GRAM, length)).bit_length()
+    part = ["anchor", "c1", "c2"]
+    hot = contents.filter("hot")
+    while width > 1 and not hot.isEmpty():
+        width //= 2
+        parts = written(hot.mapInArrow(lambda b, width=width: _split(b, length, width), _PART))
+        root = F.min(F.struct("r0", "r1", "r2", "shift")).alias("root")
+        distinct = parts.groupBy(*part).agg(F.sum("weight").alias("weight"), root, F.first("place").alias("place"), F.first("content").alias("content"))
+        distinct = written(distinct.select(*part, "weight", "root.*", "place", "content"))
+        variants = written(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1"))
+        again = (F.col("variants") > HOT) & F.lit(width > 1)
+        split, contents = contents, written(distinct.join(variants, "anchor").withColumn("hot", again).drop("variants"))
+        discard(split)
+        out.append(written(_in_order(contents, length)))
+        copied = parts.filter("r0 is not null").join(distinct.filter("weight > 1").select(*part), part)
+        ends = F.array(F.col("shift"), F.col("shift") + F.octet_length("content") - length + 1).alias("spans")
+        out.append(written(copied.select(F.col("r0").alias("anchor"), F.col("r1").alias("c1"), F.col("r2").alias("c2"), ends)))
+        discard(parts)
+        discard(distinct)
+        hot = contents.filter("hot")
+    discard(contents)
+    return out
 
 
 def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -219,33 +277,21 @@ def repeated_spans(documents: DataFrame, length: int, key: str = "doc_id", text:
     owner = F.min(F.struct("h1", "h2", "doc_id", "start")).alias("owner")
     distinct = written(places.groupBy(*stretch).agg(F.count(F.lit(1)).alias("weight"), F.first("count").alias("count"), owner))
     variants = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1")
-    compared = distinct.join(written(variants), "anchor").withColumn("hot", F.col("variants") > HOT)
+    compared = distinct.join(written(variants), "anchor").withColumn("hot", (F.col("variants") > HOT) & F.lit(length > GRAM))
     fields = F.struct(*stretch, "weight", "hot", "count", "owner.start").alias("wanted")
     compared = compared.select("owner.h1", "owner.h2", F.col("owner.doc_id").alias("own_id"), fields)
     wanted = compared.groupBy("h1", "h2", "own_id").agg(F.collect_list("wanted").alias("wanted"))
     wanted = wanted.alias("w")
     same = (F.col("d.h1") == F.col("w.h1")) & (F.col("d.h2") == F.col("w.h2")) & F.col("d.doc_id").eqNullSafe(F.col("w.own_id"))
     texts = long_enough.alias("d").join(wanted, same).select("d.text", "w.wanted")
-    contents = written(texts.mapInArrow(lambda b: _cut(b, length), _CONTENT))
-
-    size = contents.filter("not hot").agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    grouped = contents.filter("not hot").repartition(1 + size // TASK_BYTES, "anchor").sortWithinPartitions("anchor")
-    ordered = grouped.mapInArrow(lambda b: _ordered(b, length), _FOUND)
-
-    windows = contents.filter("hot").mapInArrow(lambda b: _windows(b, length), _WINDOW)
-    place = F.min(F.struct(*stretch, "place")).alias("own")
-    # a string that occurs once names its only place by the least, so no row looks its count up
-    once = windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n"), place).filter("n = 1")
-    once = once.select("own.*").groupBy(*stretch).agg(F.collect_list("place").alias("alone"))
-    count = F.octet_length("content") - length + 1
-    hot = contents.filter("hot and weight = 1").select(*stretch, F.sequence(F.lit(0), count - 1).alias("all"))
-    hot = hot.dropDuplicates(stretch).join(once, stretch, "left")
-    repeated = F.array_except("all", F.coalesce("alone", F.array().cast("array<int>")))
-    hot = hot.select(*stretch, F.flatten(F.transform(repeated, lambda k: F.array(k, k + 1))).alias("spans")).filter("size(spans) > 0")
+    own = [F.col(c).alias(f"r{k}") for k, c in enumerate(stretch)]
+    contents = texts.mapInArrow(lambda b: _cut(b, length), _CONTENT)
+    contents = written(contents.select("*", *own, F.lit(0).alias("shift"), F.lit(None).cast("int").alias("place")))
 
     copied = distinct.filter("weight > 1").select(*stretch, F.array(F.lit(0), F.col("count")).alias("spans"))
-    found = written(ordered.unionAll(hot).unionAll(copied))
-    discard(contents)
+    found = written(_in_order(contents, length).unionAll(copied))
+    for more in _hot_repeats(contents, length):
+        found = found.unionAll(more)
     own = F.collect_set(F.struct("start", "spans")).alias("found")
     return places.select("h1", "h2", "start", *stretch).join(found, stretch).groupBy("h1", "h2").agg(own)
 

@@ -74,12 +74,46 @@ def test_prefixes_come_out_below_any_depth():
         assert [bool(k) for k in known[:-1]] == [n < depth for n in shared]
 
 
-@pytest.mark.parametrize(("length", "hot"), [(400, 4096), (60, 4096), (60, 3), (5, 50)])
+@pytest.mark.parametrize(("length", "hot"), [(400, 1024), (60, 1024), (60, 3), (60, 1), (33, 1), (5, 50)])
 def test_removed_bytes(documents, prose, rows, monkeypatch, length, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     assert rows(suffix_dedup.removal_digests(documents, length)) == digests(prose, length)
 
 
+def test_parts_of_a_stretch():
+    draw = random.Random(4)
+    for _ in range(40):
+        length = draw.choice([33, 40, 100, 400])
+        content = bytes(draw.choice(b"abcd") for _ in range(length + draw.randrange(length - suffix_dedup.GRAM + 1)))
+        place = draw.randrange(len(content) - length, length - suffix_dedup.GRAM + 1)
+        for width in (1, 4, 64, 512):
+            seen = []
+            for k, around, first, count in suffix_dedup.parts_of(content, place, length, width):
+                seen += range(first, first + count)
+                for own in range(first, first + count):
+                    assert (place - own) // width == k
+                    assert around in content[own : own + length]
+                    assert width > 1 or around == content[own : own + length]
+            assert sorted(seen) == list(range(len(content) - length + 1))
+
+
+def test_one_passage_in_thousands_of_texts(spark, rows, monkeypatch):
+    """More stretches of an anchor than are ordered together, at the length and bound in use; parts stay few."""
+    draw = random.Random(6)
+    word = lambda n: "".join(draw.choice("abcdefghij") for _ in range(n))
+    passage = word(390)
+    prose = [(k, word(30) + passage + word(30)) for k in range(1500)]
+    prose += [(k, passage + word(15) + "!") for k in range(1500, 1510)] + [(1510, prose[3][1][:425]), (1511, prose[4][1][9:])]
+    made = []
+    split = suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", lambda frame: made.append(split(frame)) or made[-1])
+    monkeypatch.setattr(suffix_dedup, "discard", lambda table: None)
+    frame = spark.createDataFrame(prose, "doc_id bigint, text string").repartition(4)
+    assert rows(suffix_dedup.removal_digests(frame, 400)) == digests(prose, 400)
+    parts = [table.count() for table in made if table.columns[:4] == ["anchor", "c1", "c2", "weight"] and "r0" in table.columns]
+    assert len(parts) > 2 and max(parts) < 3 * len(prose)
+
+
 def test_blocks_meet(spark, rows, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_BLOCK", 256)
     draw = random.Random(5)
