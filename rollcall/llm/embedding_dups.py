@@ -35,6 +35,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
 
 
+def _scaled(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors in double precision times a power of two, so that no square leaves its range, and their lengths."""
+    raw = _matrix(column).astype(float)
+    raw = np.ldexp(raw, -np.frexp(np.abs(raw).max(1, initial=0))[1][:, None])
+    return raw, np.sqrt(np.einsum("ij,ij->i", raw, raw))
+
+
 def _directions(size: int, tables: int, functions: int, width: float) -> tuple[np.ndarray, np.ndarray]:
     draws = np.random.default_rng([SEED, size])
     return draws.standard_normal((size, tables * functions)), draws.uniform(0, width, tables * functions)
@@ -55,9 +62,8 @@ def bucket_numbers(units: np.ndarray, tables: int, functions: int, width: float)
 def _compared(group: pa.RecordBatch, threshold: float):
     """``(node, root, n)`` for the vectors of a group that have links: a tie and their number."""
     nodes, copies = group.column("node").to_numpy(), group.column("copies").to_numpy()
-    chunk, labels = group.column("chunk").to_numpy(), group.column("label").to_numpy()
-    vectors, buckets = _matrix(group.column("vector")).astype(float), _matrix(group.column("buckets"))
-    norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+    chunk, labels = group.column("chunk").to_numpy(), group.column("label").dictionary_encode().indices.to_numpy()
+    (vectors, norms), buckets = _scaled(group.column("vector")), _matrix(group.column("buckets"))
     units = vectors / norms[:, None]
     here = group.column("bucket")[0].as_py()
     apart = group.column("i")[0].as_py() != group.column("j")[0].as_py()
@@ -91,37 +97,35 @@ def near_vectors(
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row.
 
-    Vectors link if their labels are equal and their cosine, in double precision,
-    is at least ``threshold``.  ``n_links`` counts the other rows linked directly,
+    Vectors link if their labels, of any type that can be compared, are equal and their
+    cosine, in double precision, is at least ``threshold``; components of any size count.  ``n_links`` counts the other rows linked directly,
     equal vectors included.  A row whose id, label or vector is null, whose vector
     is empty, zero, or holds null or non-finite components links with nothing: it
     is its own component and kept.  Vectors of different length never link.  Rows
     with one id count as rows of their own; of a component all rows with the least
     id are kept.  An empty table gives an empty one.
     """
-    rows = vectors.select(
-        F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<float>").alias("vector"), F.col(label).cast("bigint").alias("label")
-    )
+    own = "float" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast(f"array<{own}>").alias("vector"), F.col(label).alias("label"))
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     usable = F.coalesce(sound & F.col("vec_id").isNotNull() & F.col("label").isNotNull(), F.lit(False))
     twins = [F.when(usable, F.xxhash64(F.lit(k), "label", "vector")).alias(f"twin{k}") for k in (1, 2)]
     counted = rows.filter(usable).groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     counted = written(counted.withColumn("node", F.monotonically_increasing_id()))  # written, so that the numbers stay
-    fields = "node bigint, copies bigint, label bigint, vector array<float>, buckets array<bigint>"
+    fields = f"node bigint, copies bigint, label {rows.schema['label'].dataType.simpleString()}, vector array<{own}>, buckets array<bigint>"
 
     def bucketed(batches):
         for batch in batches:
             sizes = np.array([len(v) for v in batch.column("vector")])
             for size in np.unique(sizes):
                 own = batch.filter(pa.array(sizes == size))
-                raw = _matrix(own.column("vector")).astype(float)
-                units = raw / np.sqrt(np.einsum("ij,ij->i", raw, raw))[:, None]
-                found = bucket_numbers(units, tables, functions, width)
-                found ^= own.column("label").to_numpy()[:, None] * np.int64(0x5851F42D4C957F2D)
+                raw, norms = _scaled(own.column("vector"))
+                found = bucket_numbers(raw / norms[:, None], tables, functions, width)
+                found ^= own.column("mark").to_numpy()[:, None]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * tables, pa.int32()), pa.array(found.ravel()))
                 yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("node", "copies", "label", "vector")), lists], names=[f.split()[0] for f in fields.split(", ")])
 
-    nodes = written(counted.select("node", "copies", "label", "vector").mapInArrow(bucketed, fields))
+    nodes = written(counted.select("node", "copies", "label", "vector", F.xxhash64("label").alias("mark")).mapInArrow(bucketed, fields))
     members = nodes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
     sizes = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
     chunks = F.ceil(F.col("size") / chunk).cast("int")

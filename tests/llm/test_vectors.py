@@ -87,3 +87,15 @@ def test_bucket_numbers_depend_on_the_vector_alone():
 
 def test_empty_table(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [512, 2])
+def test_doubles_of_any_size_and_labels_of_any_type(spark, rows, chunk):
+    table = [(1, [1e300, 2e300], "a"), (2, [1e300, 2e300], "a"), (3, [1e-200, 2e-200], "a"), (4, [3e-320, 6e-320], "a"), (5, [1.0, 2.0], "b"), (6, [1.0, 2.0], "")]
+    table += [(7, [1.0, 2.0], None), (8, [2.0, 4.0], "b"), (9, [1.0 + 1e-12, 2.0], "b"), (10, [-1e300, -2e300], "a")]
+    frame = spark.createDataFrame(table, "vec_id bigint, embedding array<double>, label string")
+    a, b = [(k, 3, 1, k == 1) for k in (1, 2, 3, 4)], [(k, 2, 5, k == 5) for k in (5, 8, 9)]
+    expected = sorted([*a, *b, *[(k, 0, k, True) for k in (6, 7, 10)]], key=repr)
+    assert rows(near_vectors(frame, chunk=chunk)) == expected
+    dated = frame.selectExpr("vec_id", "embedding", "CASE label WHEN 'a' THEN DATE'2020-01-01' WHEN 'b' THEN DATE'2020-01-02' WHEN '' THEN DATE'1970-01-01' END AS label")
+    assert rows(near_vectors(dated, chunk=chunk)) == expected
