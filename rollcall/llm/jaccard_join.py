@@ -42,8 +42,8 @@ from rollcall.plans.staging import discard, written
 RARE = 3
 #: Shared shingles that the screen asks for, as a fraction of the set.
 SCREEN = 10
-#: Texts of a family that one task compares with each other or with as many others.
-CHUNK = 512
+#: Texts of a family that one task compares with each other or with as many others, and shingles that these hold on average.
+CHUNK, CHUNK_SHINGLES = 512, 1 << 21
 _PIECE_BYTES = 1 << 20
 _COLUMNS = 4096
 
@@ -232,8 +232,8 @@ def jaccard_classes(
     least = signed.groupBy("sign").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("c")).filter("c > 1")
     ties = signed.join(written(least.select("sign", "hub")), "sign").select("node", "hub").distinct()
     families = written(connected_components(ties, "node", "hub"))
-    sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    chunks = F.ceil(F.col("members") / chunk).cast("int")
+    sizes = families.join(near.select("node", "n"), "node").groupBy("component").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("n"))
+    chunks = F.greatest(F.ceil(F.col("members") / chunk), F.least("members", F.ceil(F.col("n") / CHUNK_SHINGLES))).cast("int")
     placed = families.join(written(sizes), "component").withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     placed = placed.select("component", "node", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))

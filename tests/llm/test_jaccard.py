@@ -51,6 +51,12 @@ def test_classes(documents, prose, rows, percent, size, chunk):
     assert rows(found) == classes(prose, percent, size)
 
 
+def test_chunks_by_shingles(documents, prose, rows, monkeypatch):
+    """Few long texts make as many chunks as many short ones; a text alone may be larger than a chunk."""
+    monkeypatch.setattr(jaccard_join, "CHUNK_SHINGLES", 40)
+    assert rows(jaccard_join.jaccard_classes(documents, 80, 5)) == classes(prose, 80, 5)
+
+
 def test_empty_table(no_documents):
     assert jaccard_join.jaccard_classes(no_documents).count() == 0
 
