@@ -50,6 +50,11 @@ def bounded_suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
         known += step
 
 
+def _sorted_within(group: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The 32-bit values sorted inside each group; the groups are numbered in order."""
+    return (np.sort((group << 32) | values) & 0xFFFFFFFF).astype(np.int32)  # one sort of packed keys, not two of places
+
+
 def common_prefixes_below(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Whether the suffixes at ``order[r - 1]`` and ``order[r]`` share less than ``depth`` bytes, for r from 0 to n.
 
@@ -85,8 +90,7 @@ def common_prefixes_below(data: np.ndarray, order: np.ndarray, depth: int) -> np
         real = before[inside] != END
         first = real & (previous[inside] < np.repeat(low[~single], size))
         last = real & (following[inside] > np.repeat(high[~single], size))
-        starts, ends = forward[inside[first]], forward[inside[last]]
-        starts, ends = starts[np.lexsort((starts, of[first]))], ends[np.lexsort((ends, of[last]))]
+        starts, ends = (_sorted_within(of[some], forward[inside[some]]) for some in (first, last))
         low, high = np.concatenate([at, starts]), np.concatenate([at, ends])
         new = ~known[high + 1]
         low, high = low[new], high[new]
