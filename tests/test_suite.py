@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import Observation
 
 from rollcall.__main__ import main
-from rollcall.plans import JOB_NAMES, Settings, run_jobs
+from rollcall.plans import JOB_NAMES, Settings, documents, run_jobs
 from rollcall.plans.staging import staging_folder, staging_root
 from rollcall.sinks import write_key_values, write_report, write_table
-from rollcall.sources import read_results
+from rollcall.sources import read_results, read_xml_records
 
 XML = """<all>
 <article key="1"><author>Jean-Pierre D</author><author>Roe, Jr.</author><year>1999</year></article>
@@ -145,6 +145,19 @@ def test_staging(spark):
     assert not Path(folder.removeprefix("file:")).exists()
 
 
+def test_written_documents_are_packed(spark, rows, tmp_path):
+    """The tags around the words are most of what is written; few records share a file."""
+    texts = [(i, "some words and more of them " * 20, "en", f"src{i % 20}", 500) for i in range(2500)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    folders = [documents.written_documents(spark, str(tmp_path), packed=packed) for packed in (True, False)]
+    files = [sorted(Path(folder.removeprefix("file:")).glob("part-*")) for folder in folders]
+    sizes = [sum(file.stat().st_size for file in own) for own in files]
+    assert len(files[0]) == 3 and sizes[0] * 5 < sizes[1]
+    scans = [read_xml_records(spark, folder, require_attributes=False).select("kind", "raw") for folder in folders]
+    assert rows(scans[0]) == rows(scans[1]) and scans[0].count() == 2500
+
+
 def test_cluster_needs_a_shared_folder():
     class Context:
         master = "yarn"
