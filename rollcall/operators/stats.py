@@ -29,10 +29,8 @@ def member_stats(
     for name in by:
         kept = kept.where(F.col(name).isNotNull())
     key = ["member", *by]
-    if times:
-        counted = kept.groupBy(*key, "n").agg(F.sum(times).alias("times"))
-    else:
-        counted = membership_counts(kept, by)
+    # what is counted already meets once: rows of one size may come in any number and order
+    counted = kept.withColumn("times", F.col(times)) if times else membership_counts(kept, by)
     counted = counted.select(*key, co_members("n").alias("fellows"), "times")
     own = Window.partitionBy(*key).orderBy("fellows")
     so_far = own.rowsBetween(Window.unboundedPreceding, 0)

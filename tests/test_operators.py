@@ -213,6 +213,16 @@ def test_stats(data, rows):
     assert exact == {m: pytest.approx(sum(v) / len(v)) for m, v in fellows.items()}
 
 
+def test_counted_memberships_are_not_counted_again(spark, rows):
+    """Rows that stand for many go straight to the sort, whether equal ones have met or not."""
+    values = [("a", 1 + i % 3, 1 + i % 4) for i in range(20)] + [("b", 2, 5), ("b", 2, 5), ("c", 7, 1)]
+    counted = spark.createDataFrame(values, "member string, n int, times long")
+    told = member_stats(counted, times="times")
+    assert "HashAggregate" not in told._jdf.queryExecution().executedPlan().toString()
+    single = spark.createDataFrame([(m, n) for m, n, times in values for _ in range(times)], "member string, n int")
+    assert rows(told) == rows(member_stats(single))
+
+
 def test_long_tables_with_a_huge_record(spark, rows):
     rng = random.Random(3)
     items = [(1, f"m{i % 7}") for i in range(1000)]  # a third of all rows
