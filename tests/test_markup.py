@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from rollcall.functions import markup
 from rollcall.functions.markup import extract_groups, observe_bad, repair, root_kind, split_bad
 
 
@@ -270,3 +271,57 @@ def test_random_records_against_a_tree_parser(spark):
         assert row["members"] == [m for m in members if m], texts[row["id"]]
         expected = int(years[-1]) if years and years[-1].isdigit() else None
         assert row["year"] == expected, texts[row["id"]]
+
+
+def _parsed_only(spark, table, monkeypatch, **options):
+    """The groups with every record parsed."""
+    with monkeypatch.context() as patched:
+        patched.setattr(markup, "_is_plain", lambda *args: F.lit(False))
+        return extract_groups(table, **options)
+
+
+def test_plain_records_are_cut_out_and_others_parsed(spark):
+    plain = [
+        "<article key='a/1' mdate=\"1 > 0\">\n<author>A B</author><author orcid='0'>C & D</author ><year>1999</year></article>",
+        "<www><people><author>É😀</author></people><title>a < b & <1 more> <i>c</i></title><author></author></www>",
+        "<book><author>&uuml; x\ty</author><authority>no</authority></book>",
+    ]
+    others = [
+        "<article><author>open</article>",
+        "<article><author><i>A</i></author></article>",
+        "<article><author> </author></article>",
+        "<article><AUTHOR>A</AUTHOR></article>",
+        "<article><author>a]]>b</author></article>",
+        "<article><author>a\rb</author></article>",
+        "<article><author>a\x01b</author></article>",
+        "<article k='1' k='2'><author>A</author></article>",
+        "<article corrupt_record='x'><author>A</author></article>",
+        "<article><!-- <author>A</author> --></article>",
+        "<article><![CDATA[<author>A</author>]]></article>",
+        "<article><author/></article>",
+        "<author><author>A</author></author>",
+        "<article><author>A</author></article>behind",
+        "",
+        None,
+    ]
+    table = spark.createDataFrame([(text,) for text in plain + others], "raw string")
+    rows = table.select("raw", markup._is_plain(markup._joined(F.col("raw")), "author", "year").alias("plain")).collect()
+    assert {row.raw for row in rows if row.plain} == set(plain)
+
+
+@pytest.mark.parametrize("on_bad", ["quarantine", "salvage", "drop"])
+def test_plain_records_give_what_a_parse_gives(spark, monkeypatch, on_bad):
+    rng = random.Random(17)
+    shapes = ["<author>%s</author>", "<author k='1'>%s</author >", "<year>%s</year>", "<p><q><author>%s</author></q></p>", "<i>%s</i>"]
+    shapes += ["%s", "<author><i>%s</i></author>", "<authority>%s</authority>", "<AUTHOR>%s</AUTHOR>", "<author>%s"]
+    texts = ["", "x", " ", "  y ", "a & b", "< b", "<1 m> z", "1999", "]]>", "\t", "a\rb", "é", "😀", "\x01", " ", "a\n b", "&lt;", "<>"]
+    roots = ["", " key='1'", " a='1' b='2'", " a='1' a='2'", " ab='1' a='2'", " a='1' ab='2'", " corrupt_record='z'", " k='<'", " "]
+    rows = []
+    for number in range(1500):
+        body = "".join(rng.choice(shapes).replace("%s", rng.choice(texts)) for _ in range(rng.randint(0, 4)))
+        rows.append((number, f"<article{rng.choice(roots)}>{body}</article>"))
+    table = spark.createDataFrame(rows, "id int, raw string")
+    assert table.where(markup._is_plain(markup._joined(F.col("raw")), "author", "year")).count() > 100
+    found = extract_groups(table, on_bad=on_bad)
+    parsed = _parsed_only(spark, table, monkeypatch, on_bad=on_bad)
+    assert sorted(map(str, found.collect())) == sorted(map(str, parsed.collect()))
